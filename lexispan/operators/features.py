@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexispan.functions.arrays import value_counts
 from lexispan.operators.bounded import hint_if_bounded
+from lexispan.operators.unnest import unnest
 
 # Up to this many terms the vocabulary is held as a list by the driver and the
 # tasks, as Spark's own vectorizer does (its default bound); beyond, it is joined.
@@ -21,7 +22,7 @@ MAX_LISTED_TERMS = 262_144
 def term_counts(df: DataFrame, terms: str, group: Sequence[str] = ()) -> DataFrame:
     """``(group.., term, cnt)`` over all documents, combined before the shuffle."""
     return (
-        df.select(*group, F.explode(terms).alias("term"))
+        unnest(df, group, terms, "term")
         .groupBy(*group, "term").agg(F.count(F.lit(1)).alias("cnt"))
     )
 
@@ -62,8 +63,8 @@ def fitted_vocabulary(df: DataFrame, terms: str, top_n: int) -> DataFrame:
         lambda t: F.struct(t.alias("term"), F.lit(0).alias("occ"), F.lit(1).alias("doc")),
     )
     tally = (
-        df.select(F.inline(F.concat(occurrences, presences)))
-        .groupBy("term").agg(F.sum("occ").alias("cnt"), F.sum("doc").alias("df"))
+        unnest(df, [], F.concat(occurrences, presences), "e")
+        .groupBy("e.term").agg(F.sum("e.occ").alias("cnt"), F.sum("e.doc").alias("df"))
     )
     return with_index(top_terms(tally, top_n)).select(
         "idx", "term", "cnt", "df", smoothed_idf(df.count(), F.col("df")).alias("idf")
@@ -138,9 +139,9 @@ class TfidfModel:
             "_entries", F.lit(0.0),
             lambda s, e: s + F.pow(e["cnt"] * F.get(weights, e["idx"]), F.lit(2.0)),
         )
-        flat = rows.select(
-            row_key, "_n", F.sqrt(squares).alias("_norm"), F.inline("_entries")
-        )
+        flat = unnest(
+            rows, [row_key, "_n", F.sqrt(squares).alias("_norm")], "_entries", "_e"
+        ).select(row_key, "_n", "_norm", "_e.*")
         idf = F.col("idf")
         return flat.join(
             hint_if_bounded(self.table.select("idx", "term", "idf"), self.top_n), "idx"
@@ -152,9 +153,9 @@ class TfidfModel:
         )
 
     def _entries_by_join(self, df, row_key, terms):
-        flat = df.select(
-            row_key, F.size(terms).alias("_n"), F.inline(value_counts(F.col(terms)))
-        ).select(row_key, "_n", F.col("value").alias("term"), F.col("n").alias("cnt"))
+        flat = unnest(
+            df, [row_key, F.size(terms).alias("_n")], value_counts(F.col(terms)), "_e"
+        ).select(row_key, "_n", F.col("_e.value").alias("term"), F.col("_e.n").alias("cnt"))
         known = flat.join(self.table.select("idx", "term", "idf"), "term").withColumn(
             "tf", F.col("cnt") / F.col("_n")
         ).withColumn("tfidf", F.col("tf") * F.col("idf"))
@@ -170,7 +171,7 @@ def bag_of_terms(df: DataFrame, row_key: str, terms: str, vocab: DataFrame, top_
     Terms are counted inside the row; the vocabulary, of at most ``top_n`` rows, is
     broadcast when that is small, and then nothing is shuffled.
     """
-    flat = df.select(row_key, F.inline(value_counts(F.col(terms))))
+    flat = unnest(df, [row_key], value_counts(F.col(terms)), "_e").select(row_key, "_e.*")
     lookup = hint_if_bounded(vocab.select("idx", F.col("term").alias("value")), top_n)
     return flat.join(lookup, "value").select(
         row_key, "idx", F.col("n").cast("bigint").alias("cnt")

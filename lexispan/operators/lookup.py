@@ -105,7 +105,9 @@ def look_up_tokens(
         look_up = _by_dictionary(rows, keep_unmatched, df.sparkSession.sparkContext)
         return df.withColumn(output, look_up(F.col(tokens)))
     key, value = table.columns
-    occurrences = df.select(row_key, F.posexplode(tokens).alias("_pos", "_token"))
+    occurrences = df.select(
+        row_key, F.posexplode_outer(tokens).alias("_pos", "_token")
+    ).filter(F.col("_pos").isNotNull())
     joined = occurrences.join(
         table.select(F.col(key).alias("_token"), F.col(value).alias("_found")),
         "_token", "left",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.text import content_words, words
 from lexispan.operators.lookup import lemma_table, lemmatize
 from lexispan.operators.qa_windows import eval_features
+from lexispan.operators.unnest import unnest
 from lexispan.sources.corpora import labelled_reviews
 from lexispan.sources.tables import scan
 
@@ -55,7 +56,7 @@ def with_lemmas(df: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     The lexicon is the set of distinct words of ``corpus``, or of ``df`` itself.
     """
     source = df if corpus is None else corpus
-    lexicon = source.select(F.explode("tokens").alias("word")).distinct()
+    lexicon = unnest(source, [], "tokens", "word").distinct()
     return lemmatize(df, "doc_id", "tokens", own_lemmas(lexicon), "tokens")
 
 
@@ -66,9 +67,7 @@ def news_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(token, tag)`` for all distinct words of the corpus."""
-    distinct = news(spark, sf_dir).select(
-        F.explode(words(F.col("text"))).alias("token")
-    ).distinct()
+    distinct = unnest(news(spark, sf_dir), [], words(F.col("text")), "token").distinct()
     digit = F.substring(F.md5("token"), 1, 1)
     tag = F.when(digit < "6", "NN").when(digit < "a", "JJ").otherwise("VB")
     return distinct.select("token", tag.alias("tag"))
@@ -76,7 +75,7 @@ def tag_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_table(spark: SparkSession, sf_dir: str, tokens: DataFrame) -> DataFrame:
     """``(word, vec)`` for words that occur at least twice in the corpus."""
-    counts = tokens.select(F.explode("tokens").alias("word")).groupBy("word").count()
+    counts = unnest(tokens, [], "tokens", "word").groupBy("word").count()
     vectors = scan(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding")
     total = vectors.count()
     number = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")

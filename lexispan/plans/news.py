@@ -12,6 +12,7 @@ from lexispan.operators import features, models, sampling
 from lexispan.operators.lookup import tagged_ngrams
 from lexispan.operators.metrics import to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
+from lexispan.operators.unnest import unnest
 from lexispan.plans import inputs, sql
 
 TOP_WORDS = 100
@@ -60,9 +61,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lemma_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = inputs.news_words(spark, sf_dir).select(
-        F.explode("tokens").alias("word")
-    ).distinct()
+    lexicon = unnest(inputs.news_words(spark, sf_dir), [], "tokens", "word").distinct()
     return inputs.own_lemmas(lexicon).select("token", "lemma")
 
 
@@ -141,7 +140,7 @@ def tfidf_fit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dimensions(pooled: DataFrame) -> DataFrame:
-    return pooled.select("doc_id", F.posexplode("features").alias("dim", "x")).select(
+    return pooled.select("doc_id", F.posexplode_outer("features").alias("dim", "x")).select(
         "doc_id", "dim", (F.round("x", 6) + F.lit(0.0)).alias("x")
     )
 

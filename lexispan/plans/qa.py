@@ -143,9 +143,9 @@ def qa_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.documents(spark, sf_dir, "doc_id", "text")
     placed = docs.select("doc_id", qa_windows.token_offsets(F.col("text")).alias("o"))
-    return placed.select("doc_id", F.posexplode("o").alias("i", "o")).select(
-        "doc_id", "i", "o.s", "o.e"
-    )
+    # The outer form: see lexispan.operators.unnest.
+    numbered = placed.select("doc_id", F.posexplode_outer("o").alias("i", "o"))
+    return numbered.filter("i IS NOT NULL").select("doc_id", "i", "o.s", "o.e")
 
 
 def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
