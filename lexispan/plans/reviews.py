@@ -123,7 +123,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = inputs.with_lemmas(tokens).persist()
     train = cleaned.filter("split = 'train'").drop("split")
     test = cleaned.filter("split = 'test'").drop("split")
-    embedding = inputs.embedding_table(spark, sf_dir, train)
+    embedding = inputs.embedding_table(spark, sf_dir, train).persist()
     predicted = models.compare_models(train, test, embedding, "doc_id", "tokens")
     return _rounded(metrics.binary_report(predicted, "y", "pred", ["model"]), "model")
 
