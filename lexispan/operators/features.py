@@ -113,56 +113,54 @@ class TfidfModel:
         counted = self.counts(df, terms, "_counts")
         return unit.transform(weighted.transform(counted)).drop("_counts", "_weighted")
 
-    def entries(self, df: DataFrame, row_key: str, terms: str) -> DataFrame:
-        """``(row_key, idx, term, cnt, tf, tfidf, tfidf_l2)``, one row per known term.
+    def entries(
+        self, df: DataFrame, row_key: str, terms: str, keep: Sequence[str] = ()
+    ) -> DataFrame:
+        """``(row_key, keep.., idx, term, cnt, tf, tfidf, tfidf_l2)``, a row per known term.
 
         ``tf`` divides by all terms of the document, known or not.
         """
+        rows = df.select(row_key, *keep, terms)
         if self.terms:
-            found = self._entries_from_vectors(df, row_key, terms)
+            found = self._entries_from_vectors(rows, row_key, terms, keep)
         else:
-            found = self._entries_by_join(df, row_key, terms)
-        return found.select(row_key, "idx", "term", "cnt", "tf", "tfidf", "tfidf_l2")
-
-    def _entries_from_vectors(self, df, row_key, terms):
-        counted = self.counts(df.select(row_key, terms), terms, "_counts")
-        sparse = counted.select(
-            row_key, F.size(terms).alias("_n"), F.unwrap_udt("_counts").alias("v")
-        )
-        entries = F.transform(
-            F.arrays_zip("v.indices", "v.values"),
-            lambda e: F.struct(e["indices"].alias("idx"), e["values"].alias("cnt")),
+            found = self._entries_by_join(rows, row_key, terms, keep)
+        return found.select(row_key, *keep, "idx", "term", "cnt", "tf", "tfidf", "tfidf_l2")
+
+    def _entries_from_vectors(self, df, row_key, terms, keep):
+        # Both vectors of a row list the same terms in the same order.
+        unit = self.vectors(self.counts(df, terms, "_count_vector"), terms, "_unit_vector")
+        sparse = unit.select(
+            row_key, *keep, F.size(terms).alias("_n"),
+            F.unwrap_udt("_count_vector").alias("_c"),
+            F.unwrap_udt("_unit_vector").alias("_u"),
         )
-        rows = sparse.select(row_key, "_n", entries.alias("_entries"))
-        weights = F.lit(self.idf)
-        squares = F.aggregate(
-            "_entries", F.lit(0.0),
-            lambda s, e: s + F.pow(e["cnt"] * F.get(weights, e["idx"]), F.lit(2.0)),
+        zipped = F.arrays_zip(
+            F.col("_c.indices").alias("idx"), F.col("_c.values").alias("cnt"),
+            F.col("_u.values").alias("unit"),
         )
-        flat = unnest(
-            rows, [row_key, "_n", F.sqrt(squares).alias("_norm")], "_entries", "_e"
-        ).select(row_key, "_n", "_norm", "_e.*")
-        idf = F.col("idf")
-        return flat.join(
+        flat = unnest(sparse, [row_key, *keep, "_n"], zipped, "_e")
+        tf = F.col("_e.cnt") / F.col("_n")
+        return flat.select(
+            row_key, *keep, F.col("_e.idx").alias("idx"),
+            F.col("_e.cnt").cast("bigint").alias("cnt"), tf.alias("tf"),
+            F.col("_e.unit").alias("tfidf_l2"),
+        ).join(
             hint_if_bounded(self.table.select("idx", "term", "idf"), self.top_n), "idx"
-        ).select(
-            row_key, "idx", "term", F.col("cnt").cast("bigint").alias("cnt"),
-            (F.col("cnt") / F.col("_n")).alias("tf"),
-            (F.col("cnt") / F.col("_n") * idf).alias("tfidf"),
-            (F.col("cnt") * idf / F.col("_norm")).alias("tfidf_l2"),
-        )
+        ).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
-    def _entries_by_join(self, df, row_key, terms):
+    def _entries_by_join(self, df, row_key, terms, keep):
         flat = unnest(
-            df, [row_key, F.size(terms).alias("_n")], value_counts(F.col(terms)), "_e"
-        ).select(row_key, "_n", F.col("_e.value").alias("term"), F.col("_e.n").alias("cnt"))
+            df, [row_key, *keep, F.size(terms).alias("_n")], value_counts(F.col(terms)), "_e"
+        ).select(
+            row_key, *keep, "_n", F.col("_e.value").alias("term"),
+            F.col("_e.n").cast("bigint").alias("cnt"),
+        )
         known = flat.join(self.table.select("idx", "term", "idf"), "term").withColumn(
             "tf", F.col("cnt") / F.col("_n")
         ).withColumn("tfidf", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.pow("tfidf", F.lit(2.0))).over(Window.partitionBy(row_key)))
-        return known.withColumn("cnt", F.col("cnt").cast("bigint")).withColumn(
-            "tfidf_l2", F.col("tfidf") / norm
-        )
+        return known.withColumn("tfidf_l2", F.col("tfidf") / norm)
 
 
 def bag_of_terms(df: DataFrame, row_key: str, terms: str, vocab: DataFrame, top_n: int) -> DataFrame:
@@ -213,7 +211,8 @@ def vector_size(embedding: DataFrame) -> int:
 
 
 def pool_words(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, how: str = "mean"
+    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, how: str = "mean",
+    dims: int | None = None,
 ) -> DataFrame:
     """``(row_key, features)``: mean or max of the vectors of a document's words.
 
@@ -223,7 +222,7 @@ def pool_words(
     large one and splits hot words.  Vectors are summed dimension by dimension in
     the aggregate, so they are never exploded.
     """
-    dims = vector_size(embedding)
+    dims = dims or vector_size(embedding)
     counted = df.select(
         row_key, F.inline_outer(value_counts(F.col(tokens)))
     ).select(row_key, F.col("value").alias("word"), "n")
@@ -231,14 +230,15 @@ def pool_words(
 
 
 def pool_weighted(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, model: TfidfModel
+    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, model: TfidfModel,
+    dims: int | None = None,
 ) -> DataFrame:
     """``(row_key, features)``: word vectors averaged with their TF-IDF weights.
 
     Words outside the model's vocabulary or the embedding count for nothing; when
     all weights are 0 the plain mean is taken, and zeros when no word is known.
     """
-    dims = vector_size(embedding)
+    dims = dims or vector_size(embedding)
     entries = model.entries(df, row_key, tokens).select(
         row_key, "idx", F.col("cnt").alias("n"), F.col("tfidf_l2").alias("weight")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from lexispan.functions.text import ngrams
+from lexispan.operators.unnest import unnest
 
 MAX_DICTIONARY_ROWS = 500_000
 
@@ -27,37 +28,43 @@ NOUN_ENDINGS = [
 ]
 
 
-def lemma_table(lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
-    """``(token, lemma)`` for every form the lexicon can explain.
+def changed_lemmas(
+    tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None
+) -> DataFrame:
+    """``(token, lemma)`` for the distinct ``tokens(token)`` that have another base form.
 
-    ``lexicon(word)`` holds the known base forms, none of them empty, and
-    ``exceptions(word, lemma)`` irregular ones.  The endings are applied backwards, from base form to surface
-    form, so the table is built from the lexicon alone, at most ten rows per word.
-    Among several base forms the shortest wins, then the first in text order; a
-    known word is a candidate for itself.
+    ``lexicon(word)`` holds the known base forms and ``exceptions(word, lemma)``
+    irregular ones.  Candidates come from the endings, or from the exceptions where
+    a token has any; those in the lexicon count, and the shortest wins, then the
+    first in text order.  The endings never lengthen a word, so a known word need
+    not compete with its own regular candidates, only with its exceptions.
     """
-    word = F.col("word")
-    surface = [word]
-    for ending, base in NOUN_ENDINGS:
-        stem = F.substring(word, F.lit(1), F.length(word) - len(base))
-        form = F.concat(stem, F.lit(ending))
-        surface.append(F.when(word.endswith(base), form) if base else form)
-    forms = lexicon.select(F.explode(F.array(*surface)).alias("token"), word.alias("lemma"))
-    forms = forms.filter(F.col("token").isNotNull())
+    token = F.col("token")
+    regular = tokens.select("token")
     if exceptions is not None:
-        # An irregular form follows its exceptions (and itself), not the endings.
-        irregular = exceptions.select(F.col("word").alias("token"), "lemma")
-        marks = irregular.select("token", F.lit(True).alias("_irregular")).distinct()
-        forms = (
-            forms.join(marks, "token", "left")
-            .filter(F.col("_irregular").isNull() | (F.col("token") == F.col("lemma")))
-            .drop("_irregular")
-            .unionByName(
-                irregular.join(lexicon.select(word.alias("lemma")), "lemma", "left_semi")
-            )
+        irregular = exceptions.select(F.col("word").alias("token"), "lemma").join(
+            regular, "token", "left_semi"
+        )
+        regular = regular.join(irregular.select("token"), "token", "left_anti")
+    by_ending = F.array(*[
+        F.when(
+            token.endswith(ending),
+            F.concat(
+                F.substring(token, F.lit(1), F.length(token) - len(ending)), F.lit(base)
+            ),
         )
+        for ending, base in NOUN_ENDINGS
+    ])
+    candidates = unnest(regular, ["token"], by_ending, "lemma")
+    if exceptions is not None:
+        itself = irregular.select("token", token.alias("lemma"))
+        candidates = candidates.unionByName(irregular).unionByName(itself)
+    known = candidates.join(
+        lexicon.select(F.col("word").alias("lemma")), "lemma", "left_semi"
+    )
     shortest = F.min(F.struct(F.length("lemma").alias("n"), F.col("lemma").alias("lemma")))
-    return forms.groupBy("token").agg(shortest["lemma"].alias("lemma"))
+    best = known.groupBy("token").agg(shortest["lemma"].alias("lemma"))
+    return best.filter(token != F.col("lemma"))
 
 
 def _by_dictionary(rows: pa.Table, keep_unmatched: bool, context):
@@ -129,14 +136,12 @@ def lemmatize(
     output: str,
     max_dictionary_rows: int = MAX_DICTIONARY_ROWS,
 ) -> DataFrame:
-    """Add ``output``: the tokens, each replaced by its lemma if it has another one.
+    """Add ``output``: the tokens, each replaced by its row in ``lemmas``, if any.
 
-    Only rows of ``lemmas(token, lemma)`` that change a token are used.
+    ``lemmas(token, lemma)`` need only hold tokens that change (``changed_lemmas``).
     """
-    changing = lemmas.filter(F.col("token") != F.col("lemma")).select("token", "lemma")
-    return look_up_tokens(
-        df, row_key, tokens, changing, output, True, max_dictionary_rows
-    )
+    table = lemmas.select("token", "lemma")
+    return look_up_tokens(df, row_key, tokens, table, output, True, max_dictionary_rows)
 
 
 def tagged_ngrams(

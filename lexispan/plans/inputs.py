@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.functions.text import content_words, words
-from lexispan.operators.lookup import lemma_table, lemmatize
+from lexispan.operators.lookup import changed_lemmas, lemmatize
 from lexispan.operators.qa_windows import eval_features
 from lexispan.operators.unnest import unnest
 from lexispan.sources.corpora import labelled_reviews
@@ -44,10 +44,8 @@ def news_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def own_lemmas(lexicon: DataFrame) -> DataFrame:
-    """Lemmas of the lexicon's own words, the lexicon being a corpus vocabulary."""
-    return lemma_table(lexicon).join(
-        lexicon.select(F.col("word").alias("token")), "token", "left_semi"
-    )
+    """Changed lemmas of a corpus vocabulary ``(word)`` that is its own lexicon."""
+    return changed_lemmas(lexicon.select(F.col("word").alias("token")), lexicon)
 
 
 def with_lemmas(df: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
@@ -73,8 +71,11 @@ def tag_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct.select("token", tag.alias("tag"))
 
 
+VECTOR_SIZE = 64
+
+
 def embedding_table(spark: SparkSession, sf_dir: str, tokens: DataFrame) -> DataFrame:
-    """``(word, vec)`` for words that occur at least twice in the corpus."""
+    """``(word, vec)`` for words that occur at least twice in the corpus; 64 numbers."""
     counts = unnest(tokens, [], "tokens", "word").groupBy("word").count()
     vectors = scan(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding")
     total = vectors.count()

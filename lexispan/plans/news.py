@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, words
@@ -33,9 +34,7 @@ def _counts_by_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw.groupBy("term").agg(F.sum("cnt").alias("total")).filter("total > 0")
         .select(F.col("term").alias("word"))
     )
-    changing = inputs.own_lemmas(lexicon).filter("token <> lemma").select(
-        F.col("token").alias("term"), "lemma"
-    )
+    changing = inputs.own_lemmas(lexicon).select(F.col("token").alias("term"), "lemma")
     return raw.join(changing, "term", "left").groupBy(
         "label", F.coalesce("lemma", "term").alias("term")
     ).agg(F.sum("cnt").alias("cnt"))
@@ -62,7 +61,10 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lemma_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = unnest(inputs.news_words(spark, sf_dir), [], "tokens", "word").distinct()
-    return inputs.own_lemmas(lexicon).select("token", "lemma")
+    tokens = lexicon.select(F.col("word").alias("token"))
+    return tokens.join(inputs.own_lemmas(lexicon), "token", "left").select(
+        "token", F.coalesce("lemma", "token").alias("lemma")
+    )
 
 
 def _vocabulary(tokens: DataFrame, terms, top_n: int) -> DataFrame:
@@ -101,8 +103,13 @@ def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.bag_of_terms(grams, "doc_id", "terms", vocab, NGRAM_TERMS)
 
 
+def _kept_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned words, persisted for queries that read them several times."""
+    return inputs.news_tokens(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _tfidf_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = inputs.news_tokens(spark, sf_dir)
+    tokens = _kept_tokens(spark, sf_dir)
     model = features.TfidfModel.fit(tokens, "tokens", TFIDF_TERMS)
     return model.entries(tokens, "doc_id", "tokens")
 
@@ -129,12 +136,11 @@ def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tfidf_fit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary and frequencies from the 80 % split, applied to both parts."""
-    tokens = inputs.news_tokens(spark, sf_dir)
+    tokens = _kept_tokens(spark, sf_dir)
     rows = sampling.train_rows_80_20(tokens.count())
     split = sampling.split_exact(tokens, "doc_id", rows, inputs.SEED)
     model = features.TfidfModel.fit(split.filter("split = 'train'"), "tokens", REVIEW_TERMS)
-    labels = sampling.split_exact(split.select("doc_id"), "doc_id", rows, inputs.SEED)
-    return model.entries(split, "doc_id", "tokens").join(labels, "doc_id").select(
+    return model.entries(split, "doc_id", "tokens", ["split"]).select(
         "doc_id", "split", "idx", F.round("tfidf_l2", 6).alias("tfidf_l2")
     )
 
@@ -146,13 +152,17 @@ def _dimensions(pooled: DataFrame) -> DataFrame:
 
 
 def _pool(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
-    tokens = inputs.news_tokens(spark, sf_dir)
+    tokens = _kept_tokens(spark, sf_dir)
     embedding = inputs.embedding_table(spark, sf_dir, tokens)
     if how == "weighted":
         model = features.TfidfModel.fit(tokens, "tokens", REVIEW_TERMS)
-        pooled = features.pool_weighted(tokens, "doc_id", "tokens", embedding, model)
+        pooled = features.pool_weighted(
+            tokens, "doc_id", "tokens", embedding, model, inputs.VECTOR_SIZE
+        )
     else:
-        pooled = features.pool_words(tokens, "doc_id", "tokens", embedding, how)
+        pooled = features.pool_words(
+            tokens, "doc_id", "tokens", embedding, how, inputs.VECTOR_SIZE
+        )
     return _dimensions(pooled)
 
 
@@ -170,14 +180,11 @@ def pool_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svm_predict_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions of a linear rule with weights that follow from the term index."""
-    entries = _tfidf_entries(spark, sf_dir).select(
-        "doc_id", "idx", F.col("tfidf_l2").alias("value")
-    )
-    weights = spark.range(TFIDF_TERMS).select(
-        F.col("id").cast("int").alias("idx"), (((F.col("id") * 37) % 101 - 50) / 50).alias("weight")
-    )
-    decided = models.decide(entries, ["doc_id"], weights, 0.05, TFIDF_TERMS)
-    return decided.select(
+    tokens = _kept_tokens(spark, sf_dir)
+    model = features.TfidfModel.fit(tokens, "tokens", TFIDF_TERMS)
+    vectors = model.vectors(tokens, "tokens", "features")
+    weights = [((idx * 37) % 101 - 50) / 50 for idx in range(TFIDF_TERMS)]
+    return models.decide(vectors, "features", weights, 0.05).select(
         "doc_id", (F.round("score", 6) + F.lit(0.0)).alias("score"), "sign",
         to_classes(F.col("sign")).alias("pred"),
     )
@@ -185,7 +192,7 @@ def svm_predict_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Train and test parts (70 : 30) of the two corpora, ``label`` 0 / 1."""
-    tokens = inputs.news_tokens(spark, sf_dir).withColumn("label", to_classes(F.col("label")))
+    tokens = _kept_tokens(spark, sf_dir).withColumn("label", to_classes(F.col("label")))
     rows = sampling.train_rows_70_30(tokens.count())
     split = sampling.split_exact(tokens, "doc_id", rows, inputs.SEED)
     return split.filter("split = 'train'"), split.filter("split = 'test'")
@@ -194,9 +201,7 @@ def _labelled_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _labelled_split(spark, sf_dir)
     tfidf = features.TfidfModel.fit(train, "tokens", TFIDF_TERMS)
-    fitting = tfidf.vectors(train, "tokens", "features").select("label", "features").persist()
-    model = models.fit_svm(fitting, penalty=0.01)
-    fitting.unpersist()
+    model = models.fit_svm(tfidf.vectors(train, "tokens", "features"), penalty=0.01)
     scored = model.transform(tfidf.vectors(test, "tokens", "features"))
     margin = F.round(F.get(vector_to_array("margin"), F.lit(1)), 6)
     return scored.select(
@@ -207,17 +212,19 @@ def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _labelled_split(spark, sf_dir)
-    embedding = inputs.embedding_table(spark, sf_dir, train)
+    embedding = inputs.embedding_table(spark, sf_dir, train).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
 
     def vectors(df: DataFrame) -> DataFrame:
-        pooled = features.pool_words(df, "doc_id", "tokens", embedding, "mean")
+        pooled = features.pool_words(
+            df, "doc_id", "tokens", embedding, "mean", inputs.VECTOR_SIZE
+        )
         return df.select("doc_id", "label").join(pooled, "doc_id").withColumn(
             "features", array_to_vector("features")
         )
 
-    fitting = vectors(train).persist()
-    model = models.fit_logistic(fitting)
-    fitting.unpersist()
+    model = models.fit_logistic(vectors(train))
     return model.transform(vectors(test)).select(
         "doc_id", F.col("label").alias("y"), F.col("pred").cast("int").alias("pred")
     )
@@ -333,8 +340,8 @@ FROM entries e JOIN split s ON e.doc_id = s.doc_id""",
     "svm_predict_fixed_weights": f"""WITH {sql.CLEAN},
 {sql.tfidf('clean', 'clean', TFIDF_TERMS)},
 scored AS (
-  SELECT doc_id, sum(tfidf_l2 * (((idx * 37) % 101 - 50) / 50)) + 0.05 AS score
-  FROM entries GROUP BY doc_id)
+  SELECT c.doc_id, coalesce(sum(tfidf_l2 * (((idx * 37) % 101 - 50) / 50)), 0) + 0.05 AS score
+  FROM clean c LEFT JOIN entries e ON c.doc_id = e.doc_id GROUP BY c.doc_id)
 SELECT doc_id, round(score, 6) + 0.0 AS score, CAST(sign(score) AS INTEGER) AS sign,
        CASE WHEN score > 0 THEN 1 ELSE 0 END AS pred
 FROM scored""",
