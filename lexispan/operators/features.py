@@ -1,4 +1,4 @@
-"""Term counts, vocabularies, TF-IDF and pooled word vectors."""
+"""Term counts, vocabularies and TF-IDF."""
 
 from __future__ import annotations
 
@@ -113,6 +113,16 @@ class TfidfModel:
         counted = self.counts(df, terms, "_counts")
         return unit.transform(weighted.transform(counted)).drop("_counts", "_weighted")
 
+    def sparse_parts(self, df: DataFrame, terms: str) -> DataFrame:
+        """Add structs ``_c`` (counts) and ``_u`` (unit TF-IDF): ``indices``, ``values``.
+
+        Both list the same terms of a row in the same order.
+        """
+        counted = self.counts(df, terms, "_count_vector")
+        return self.vectors(counted, terms, "_unit_vector").withColumns({
+            "_c": F.unwrap_udt("_count_vector"), "_u": F.unwrap_udt("_unit_vector")
+        }).drop("_count_vector", "_unit_vector")
+
     def entries(
         self, df: DataFrame, row_key: str, terms: str, keep: Sequence[str] = ()
     ) -> DataFrame:
@@ -128,12 +138,8 @@ class TfidfModel:
         return found.select(row_key, *keep, "idx", "term", "cnt", "tf", "tfidf", "tfidf_l2")
 
     def _entries_from_vectors(self, df, row_key, terms, keep):
-        # Both vectors of a row list the same terms in the same order.
-        unit = self.vectors(self.counts(df, terms, "_count_vector"), terms, "_unit_vector")
-        sparse = unit.select(
-            row_key, *keep, F.size(terms).alias("_n"),
-            F.unwrap_udt("_count_vector").alias("_c"),
-            F.unwrap_udt("_unit_vector").alias("_u"),
+        sparse = self.sparse_parts(df, terms).select(
+            row_key, *keep, F.size(terms).alias("_n"), "_c", "_u"
         )
         zipped = F.arrays_zip(
             F.col("_c.indices").alias("idx"), F.col("_c.values").alias("cnt"),
@@ -174,81 +180,3 @@ def bag_of_terms(df: DataFrame, row_key: str, terms: str, vocab: DataFrame, top_
     return flat.join(lookup, "value").select(
         row_key, "idx", F.col("n").cast("bigint").alias("cnt")
     )
-
-
-def _pooled(joined: DataFrame, row_key: str, dims: int, how: str) -> DataFrame:
-    """Aggregate ``(row_key, n, weight, vec)`` rows, ``vec`` null where unknown."""
-    known = F.col("vec").isNotNull()
-
-    def total(weight: Column) -> list[Column]:
-        return [F.sum(F.get("vec", F.lit(i)).cast("double") * weight) for i in range(dims)]
-
-    def mean(weight: Column) -> list[Column]:
-        weights = F.sum(F.when(known, weight))
-        return [t / F.nullif(weights, F.lit(0)) for t in total(weight)]
-
-    if how == "max":
-        values = [F.max(F.get("vec", F.lit(i))).cast("double") for i in range(dims)]
-    elif how == "mean":
-        values = mean(F.col("n"))
-    elif how == "weighted":
-        plain = mean(F.col("n"))
-        values = [
-            F.coalesce(w, p) for w, p in zip(mean(F.col("n") * F.col("weight")), plain)
-        ]
-    else:
-        raise ValueError(f"unknown pooling: {how}")
-    return joined.groupBy(row_key).agg(
-        F.array(*[F.coalesce(v, F.lit(0.0)) for v in values]).alias("features")
-    )
-
-
-def vector_size(embedding: DataFrame) -> int:
-    row = embedding.select(F.size("vec").alias("d")).first()
-    if row is None:
-        raise ValueError("the embedding table is empty")
-    return row["d"]
-
-
-def pool_words(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, how: str = "mean",
-    dims: int | None = None,
-) -> DataFrame:
-    """``(row_key, features)``: mean or max of the vectors of a document's words.
-
-    ``embedding(word, vec)``.  Words are counted inside the row first, so each
-    vector is met once per distinct word; a document with no known word gets zeros.
-    The join carries no hint: Spark broadcasts a small embedding table, shuffles a
-    large one and splits hot words.  Vectors are summed dimension by dimension in
-    the aggregate, so they are never exploded.
-    """
-    dims = dims or vector_size(embedding)
-    counted = df.select(
-        row_key, F.inline_outer(value_counts(F.col(tokens)))
-    ).select(row_key, F.col("value").alias("word"), "n")
-    return _pooled(counted.join(embedding, "word", "left"), row_key, dims, how)
-
-
-def pool_weighted(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, model: TfidfModel,
-    dims: int | None = None,
-) -> DataFrame:
-    """``(row_key, features)``: word vectors averaged with their TF-IDF weights.
-
-    Words outside the model's vocabulary or the embedding count for nothing; when
-    all weights are 0 the plain mean is taken, and zeros when no word is known.
-    """
-    dims = dims or vector_size(embedding)
-    entries = model.entries(df, row_key, tokens).select(
-        row_key, "idx", F.col("cnt").alias("n"), F.col("tfidf_l2").alias("weight")
-    )
-    # At most one row per vocabulary term.
-    vectors = model.table.select("idx", F.col("term").alias("word")).join(embedding, "word")
-    joined = entries.join(
-        hint_if_bounded(vectors.select("idx", "vec"), model.top_n), "idx"
-    )
-    pooled = _pooled(joined, row_key, dims, "weighted")
-    zeros = F.array_repeat(F.lit(0.0), dims)
-    return df.select(row_key).join(pooled, row_key, "left").withColumn(
-        "features", F.coalesce("features", zeros)
-    )

@@ -9,7 +9,7 @@ from pyspark.storagelevel import StorageLevel
 
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, words
-from lexispan.operators import features, models, sampling
+from lexispan.operators import features, models, pooling, sampling
 from lexispan.operators.lookup import tagged_ngrams
 from lexispan.operators.metrics import to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
@@ -156,11 +156,11 @@ def _pool(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
     embedding = inputs.embedding_table(spark, sf_dir, tokens)
     if how == "weighted":
         model = features.TfidfModel.fit(tokens, "tokens", REVIEW_TERMS)
-        pooled = features.pool_weighted(
+        pooled = pooling.pool_weighted(
             tokens, "doc_id", "tokens", embedding, model, inputs.VECTOR_SIZE
         )
     else:
-        pooled = features.pool_words(
+        pooled = pooling.pool_words(
             tokens, "doc_id", "tokens", embedding, how, inputs.VECTOR_SIZE
         )
     return _dimensions(pooled)
@@ -217,7 +217,7 @@ def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def vectors(df: DataFrame) -> DataFrame:
-        pooled = features.pool_words(
+        pooled = pooling.pool_words(
             df, "doc_id", "tokens", embedding, "mean", inputs.VECTOR_SIZE
         )
         return df.select("doc_id", "label").join(pooled, "doc_id").withColumn(
