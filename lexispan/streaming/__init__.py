@@ -2,5 +2,5 @@
 
 The library has no stateful streaming operators.  Every function in
 ``lexispan.functions`` is a stateless column expression, so it works on a
-``readStream`` DataFrame as it is (``tests/test_streaming.py`` runs one).
+``readStream`` DataFrame as it is (``tests/test_models.py`` runs one).
 """

@@ -1,10 +1,14 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+PATHS = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+sys.path[:0] = PATHS
+# Functions of the test modules run in Python workers, too.
+os.environ["PYTHONPATH"] = os.pathsep.join([*PATHS, os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
