@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from lexispan.functions.answers import (
     exact_score,
@@ -235,13 +236,20 @@ def evaluate(
     """The whole evaluation record as ``(metric, value)`` rows.
 
     Best thresholds and average precision need ``na_probs``; the latter also
-    needs an answerable question.
+    needs an answerable question.  The scores are kept while the record is computed,
+    which happens at once: it has 18 rows at most.
     """
-    scores = with_na_prob(raw_scores(gold, predictions), na_probs)
-    parts = [summary(threshold_scores(scores, threshold))]
-    if na_probs is not None:
-        answerable, unanswerable = class_sizes(gold)
-        parts.append(best_thresholds(scores, unanswerable))
-        if answerable:
-            parts.append(average_precision(pr_points(scores, answerable)))
-    return reduce(DataFrame.unionByName, parts)
+    scores = with_na_prob(raw_scores(gold, predictions), na_probs).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        parts = [summary(threshold_scores(scores, threshold))]
+        if na_probs is not None:
+            answerable, unanswerable = class_sizes(gold)
+            parts.append(best_thresholds(scores, unanswerable))
+            if answerable:
+                parts.append(average_precision(pr_points(scores, answerable)))
+        record = reduce(DataFrame.unionByName, parts).collect()
+    finally:
+        scores.unpersist()
+    return gold.sparkSession.createDataFrame(record, "metric string, value double")

@@ -57,7 +57,7 @@ def stub_sentiment():
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.documents(spark, sf_dir, "doc_id", "text").na.drop(subset=["text"])
+    docs = inputs.documents(spark, sf_dir, "doc_id", "text").filter("text IS NOT NULL")
     return score_batches(docs, "text", stub_sentiment).select("doc_id", "pred")
 
 

@@ -32,7 +32,7 @@ def news_label() -> Column:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text, label)``: two corpora in one table."""
-    docs = documents(spark, sf_dir, "doc_id", "text").na.drop(subset=["text"])
+    docs = documents(spark, sf_dir, "doc_id", "text").filter(F.col("text").isNotNull())
     return docs.withColumn("label", news_label())
 
 

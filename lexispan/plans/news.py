@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, words
@@ -15,6 +14,7 @@ from lexispan.operators.metrics import to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
 from lexispan.operators.unnest import unnest
 from lexispan.plans import inputs, sql
+from lexispan.session import keep
 
 TOP_WORDS = 100
 NGRAM_TERMS = 5000
@@ -105,7 +105,7 @@ def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kept_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned words, persisted for queries that read them several times."""
-    return inputs.news_tokens(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return keep(inputs.news_tokens(spark, sf_dir))
 
 
 def _tfidf_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,9 +212,7 @@ def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _labelled_split(spark, sf_dir)
-    embedding = inputs.embedding_table(spark, sf_dir, train).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    embedding = keep(inputs.embedding_table(spark, sf_dir, train))
 
     def vectors(df: DataFrame) -> DataFrame:
         pooled = pooling.pool_words(

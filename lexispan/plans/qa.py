@@ -10,6 +10,7 @@ from lexispan.functions.answers import normalize_answer as normal_form
 from lexispan.functions.arrays import attention_mask, pad_or_cut
 from lexispan.operators import qa_eval, qa_select, qa_windows
 from lexispan.plans import inputs, sql
+from lexispan.session import keep
 from lexispan.sources.qa import answerable, flatten_articles, nest_examples
 
 THRESHOLD = 1.0
@@ -73,6 +74,11 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa_eval.with_na_prob(_raw(spark, sf_dir), inputs.qa_na_probs(spark, sf_dir))
 
 
+def _kept_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persisted, since a global order is built in several passes over the scores."""
+    return keep(_scored(spark, sf_dir))
+
+
 def qa_raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir).select("qid", "has_ans", "exact", _six("f1"))
 
@@ -112,19 +118,19 @@ def _answerable(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 def qa_pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     yes, _ = _answerable(spark, sf_dir)
-    points = qa_eval.pr_points(_scored(spark, sf_dir), yes)
+    points = qa_eval.pr_points(_kept_scores(spark, sf_dir), yes)
     names = [f"{k}_{n}" for n in ("exact", "f1", "oracle") for k in ("precision", "recall")]
     return points.select(F.coalesce("na_prob", F.lit(-1.0)).alias("na_prob"), *map(_six, names))
 
 
 def qa_pr_ap(spark: SparkSession, sf_dir: str) -> DataFrame:
     yes, _ = _answerable(spark, sf_dir)
-    return _metric(qa_eval.average_precision(qa_eval.pr_points(_scored(spark, sf_dir), yes)))
+    return _metric(qa_eval.average_precision(qa_eval.pr_points(_kept_scores(spark, sf_dir), yes)))
 
 
 def qa_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, no = _answerable(spark, sf_dir)
-    return _metric(qa_eval.best_thresholds(_scored(spark, sf_dir), no))
+    return _metric(qa_eval.best_thresholds(_kept_scores(spark, sf_dir), no))
 
 
 def qa_na_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.text import content_words
 from lexispan.operators import metrics, models, sampling
 from lexispan.plans import inputs, sql
+from lexispan.session import keep
 
 FRACTION = 0.2
 TRAIN_FRACTION = 0.7
@@ -120,10 +121,10 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = split.select(
         "doc_id", "label", "split", content_words(F.col("Text")).alias("tokens")
     )
-    cleaned = inputs.with_lemmas(tokens).persist()
+    cleaned = keep(inputs.with_lemmas(tokens))
     train = cleaned.filter("split = 'train'").drop("split")
     test = cleaned.filter("split = 'test'").drop("split")
-    embedding = inputs.embedding_table(spark, sf_dir, train).persist()
+    embedding = keep(inputs.embedding_table(spark, sf_dir, train))
     predicted = models.compare_models(train, test, embedding, "doc_id", "tokens")
     return _rounded(metrics.binary_report(predicted, "y", "pred", ["model"]), "model")
 

@@ -1,4 +1,4 @@
-"""Making the package known to the Python workers of a session."""
+"""What a session holds for the queries: the shipped package and kept tables."""
 
 from __future__ import annotations
 
@@ -7,9 +7,23 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 _shipped: set[str] = set()
+_kept: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a table that one query reads several times, until ``release_kept``."""
+    _kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    return df
+
+
+def release_kept() -> None:
+    """Free what earlier queries kept; they would only compute it again."""
+    while _kept:
+        _kept.pop().unpersist()
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -19,13 +19,11 @@ def con():
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     assert difference(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
-    spark.catalog.clearCache()
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_query_gives_rows(spark, name):
     assert queries()[name](spark, SF_DIR).count() > 0
-    spark.catalog.clearCache()
 
 
 def test_only_learned_models_lack_sql():
