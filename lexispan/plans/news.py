@@ -96,7 +96,7 @@ def pos_bigram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = inputs.news_tokens(spark, sf_dir).select(
+    grams = _kept_tokens(spark, sf_dir).select(
         "doc_id", ngrams(F.col("tokens"), 2).alias("terms")
     )
     vocab = features.vocabulary(grams, "terms", NGRAM_TERMS)
