@@ -2,8 +2,8 @@
 
 The test items are few next to the corpus.  They go to the tasks in slices of bounded
 size, as a sorted table of the hashes of their n-grams.  A first pass counts in how many
-documents each of these n-grams stands; the rarer half of every item's n-grams are its
-seeds.  A second pass finds the seeds in the documents, and where several of an item
+documents each of these n-grams stands; the rare ones are the seeds, and so are those
+about as frequent as an item's median one, however often the item was copied.  A second pass finds the seeds in the documents, and where several of an item
 lie close together, the item is aligned with that stretch by words.
 """
 
@@ -27,6 +27,8 @@ SLACK = 8
 MIN_WORDS = 5
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
+RARE_SHARE = 0.001
+RARE_DOCUMENTS = 10
 SLICE_TEXT_BYTES = 16 << 20
 _FILTER_BITS = 20
 #: Bytes that separate words: ASCII but for letters and digits.
@@ -68,10 +70,11 @@ class Items:
         same = self.hashes[number] == g[at]
         return at[same], number[same]
 
-    def rare(self, frequency: np.ndarray) -> Items:
-        """Only the n-grams that are, for some item, no more frequent than its median one."""
+    def rare(self, frequency: np.ndarray, documents: int) -> Items:
+        """Only the rare n-grams, and for each item those as rare as its median one, twice over."""
+        rare = max(RARE_DOCUMENTS, RARE_SHARE * documents)
         limits = [
-            np.median([frequency[n] for n in numbers]) for numbers in self.numbers_by_item()]
+            max(rare, 2 * np.median([frequency[n] for n in numbers])) for numbers in self.numbers_by_item()]
         kept = {
             n: [(i, at) for i, at in found if frequency[n] <= limits[i]]
             for n, found in self.places.items()
@@ -141,9 +144,11 @@ def _matches(w: Words, h: np.ndarray, items: Items, wanted: list[int]) -> Iterat
 
 
 def _frequencies(items: Items):
+    """Documents per n-gram, by its number, and all documents at -1."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
+            found[-1] += batch.num_rows
             column = as_bytes(pc.utf8_lower(batch["_text"]))
             for start, stop in slices(column):
                 w = Words(column, start, stop, SEPARATORS)
@@ -243,10 +248,9 @@ def _seeded_items(
         items = Items.of(part)
         counted = rows.mapInArrow(_frequencies(items), "number long, n long").groupBy("number").agg(
             F.sum("n").alias("n")).collect()
-        frequency = np.zeros(len(items.hashes), np.int64)
-        for r in counted:
-            frequency[r.number] = r.n
-        yield items.rare(frequency)
+        frequency = {r.number: r.n for r in counted}
+        yield items.rare(
+            np.array([frequency.get(n, 0) for n in range(len(items.hashes))]), frequency.get(-1, 0))
 
 
 def drop_contaminated(
