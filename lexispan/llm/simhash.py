@@ -24,6 +24,8 @@ from lexispan.llm.words import as_bytes
 
 BITS = 64
 TREE_SIZE = 2000
+#: Shards that leave so few bits free are small enough whatever they hold.
+FREE_BITS = 12
 SEED = 42
 
 
@@ -190,16 +192,14 @@ def fingerprint_links(prints: DataFrame, radius: int = 3, tree_size: int = TREE_
     it has members at most, however many pairs of it are close.
     """
     spark = prints.sparkSession
-    masks, rows, links = {0}, prints.select("fp", F.lit(0).cast("long").alias("mask")), []
+    masks, links = set(_cut(0, radius + 1)), []
+    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     while True:
-        finer = [(_signed(m), _signed(c)) for m in masks for c in _cut(m, radius + 1)]
-        table = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
-        masks = {c % (1 << BITS) for _, c in finer}
         rows = stored(
-            rows.join(table, "mask").select(
-                "fp", F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("value")),
-            "shards")
+            rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value")), "shards")
         sizes = rows.groupBy("mask", "value").count()
+        if min(mask.bit_count() for mask in masks) >= BITS - FREE_BITS:
+            tree_size = 1 << FREE_BITS
         fit = sizes.filter(f"count BETWEEN 2 AND {tree_size}").select("mask", "value")
         members = rows.join(fit, ["mask", "value"]).groupBy("mask", "value").agg(
             F.collect_list("fp").alias("members")).select("members")
@@ -208,6 +208,10 @@ def fingerprint_links(prints: DataFrame, radius: int = 3, tree_size: int = TREE_
         rows = stored(rows.join(large, ["mask", "value"], "left_semi").select("fp", "mask"), "large-shards")
         if rows.isEmpty():
             break
+        finer = [(_signed(m), _signed(c)) for m in masks for c in _cut(m, radius + 1)]
+        masks = {c % (1 << BITS) for _, c in finer}
+        table = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
+        rows = rows.join(table, "mask").select("fp", F.col("finer").alias("mask"))
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
