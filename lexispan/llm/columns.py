@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -21,3 +21,17 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of runs of characters other than blank, tab, LF, VT, FF and CR; null: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
+def without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id is not in the one column of ``dropped``."""
+    name = free_name(df, "dropped")
+    return df.join(dropped.toDF(name), F.col(id_col) == F.col(name), "left_anti")

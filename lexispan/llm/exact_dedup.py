@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.llm.columns import ascii_lower
+from lexispan.llm.columns import ascii_lower, without
 from lexispan.llm.shared import new_path, stored
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -122,8 +122,9 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has no equal with a larger id; all columns as they were."""
-    dropped = exact_groups(docs, id_col, text_col).filter("NOT kept").select(
-        F.col(id_col).alias("_dropped")
-    )
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    """The rows of ``docs`` whose text has no equal with a larger id; all columns as they were.
+
+    Rows are dropped by their id, so those without one stay.
+    """
+    dropped = exact_groups(docs, id_col, text_col).filter("NOT kept").select(id_col)
+    return without(docs, id_col, dropped)

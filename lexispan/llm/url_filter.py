@@ -148,11 +148,13 @@ def judge_urls(
     known = reputations(outcomes.select(host_of(F.col("url")).alias("host"), "bad").filter("host <> ''"))
     bounds = known.select(
         F.col("host").alias("_host"), lower_bound(F.col("a"), F.col("b"), deviations).alias("_bound"))
-    judged = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    judged = judged.withColumn("_rule", best_rule(rules, F.col("host"), F.col("path")))
+    names = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "bound", "verdict")]
+    judged = pages.select(
+        F.struct(*names).alias("page"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    judged = judged.withColumn("best", best_rule(rules, F.col("host"), F.col("path")))
     joined = judged.join(bounds, F.col("host") == F.col("_host"), "left")
     reputation = F.when(F.col("_bound") > limit, "block").otherwise("allow")
-    return joined.withColumns({
-        "rule": F.col("_rule.site"), "bound": F.col("_bound"),
-        "verdict": F.coalesce(F.col("_rule.verdict"), reputation),
-    }).drop("_host", "_bound", "_rule")
+    return joined.select(
+        "page.*", "host", "path", F.col("best.site").alias("rule"), F.col("_bound").alias("bound"),
+        F.coalesce(F.col("best.verdict"), reputation).alias("verdict"),
+    )
