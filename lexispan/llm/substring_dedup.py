@@ -80,7 +80,11 @@ def _flags(batch, w: Words, start: int, stop: int) -> np.ndarray:
 
 
 def _window_rows(n: int, length: int, first: bool, schema: pa.Schema):
-    """Windows of ``length`` words whose parts of ``n`` words are listed in ``_at``."""
+    """Windows of ``length`` words whose parts of ``n`` words are listed in ``_at``.
+
+    At the ``first`` level only the part with the smallest hash was tested; another
+    part may have been tested in this document alone.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = as_bytes(batch["_text"])
@@ -152,11 +156,12 @@ def remove_repeats(
         F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     ).withColumn("_t", F.xxhash64("_text"))
     named = texts.filter(F.col("_doc").isNotNull())
+    unnamed = texts.filter(F.col("_doc").isNull())
     schema = f"_h long, _doc {kind}, _t long, _pos int"
     arrow = pa.schema([("_h", pa.int64()), ("_doc", _arrow(kind)), ("_t", pa.int64()), ("_pos", pa.int32())])
     place = ["_doc", "_t"]
     # One exchange of the texts serves all later levels and the last step.
-    placed = texts.repartition(*place)
+    placed = named.repartition(*place)
 
     levels = lengths(window)
     found = named.mapInArrow(
@@ -180,6 +185,8 @@ def remove_repeats(
     removed = found.groupBy(*place).agg(F.collect_list("_pos").alias("_at"))
     out = pa.schema([("_doc", _arrow(kind)), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                      ("kept", pa.string())])
-    result = placed.join(removed, place, "left").mapInArrow(
+    judged = placed.join(removed, place, "left").unionByName(
+        unnamed.withColumn("_at", F.lit(None).cast("array<int>")))
+    result = judged.mapInArrow(
         _kept_rows(window, out), f"_doc {kind}, n_words long, n_removed long, kept string")
     return result.withColumnRenamed("_doc", id_col)
