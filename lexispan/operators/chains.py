@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lexispan.functions.text import parse_route, template_parts
 
 Model = Callable[[list[str]], list[str]]
+BATCH_SIZE = 256
 
 
 @dataclass(frozen=True)
@@ -41,12 +42,21 @@ def _fill(template: str, batch: pd.DataFrame) -> list[str]:
     return ["".join(row) for row in zip(*pieces)] if pieces else [""] * len(batch)
 
 
-def _run_stages(stages: Sequence[Stage], batch: pd.DataFrame) -> pd.DataFrame:
+def _ask(model: Model, prompts: list[str], batch_size: int) -> list[str]:
+    """The replies to all prompts, asked for in calls of at most ``batch_size``."""
+    replies = []
+    for start in range(0, len(prompts), batch_size):
+        part = prompts[start: start + batch_size]
+        answers = list(model(part))
+        if len(answers) != len(part):
+            raise ValueError(f"{len(part)} prompts, but {len(answers)} replies")
+        replies += answers
+    return replies
+
+
+def _run_stages(stages: Sequence[Stage], batch: pd.DataFrame, batch_size: int) -> pd.DataFrame:
     for stage in stages:
-        prompts = _fill(stage.template, batch)
-        replies = list(stage.model(prompts)) if prompts else []
-        if len(replies) != len(prompts):
-            raise ValueError(f"{len(prompts)} prompts, but {len(replies)} replies")
+        replies = _ask(stage.model, _fill(stage.template, batch), batch_size)
         batch = batch.assign(**{stage.output: pd.Series(replies, batch.index, "object")})
     return batch
 
@@ -56,14 +66,16 @@ def _with_outputs(df: DataFrame, outputs: Sequence[str]) -> StructType:
     return StructType(kept + [StructField(o, StringType()) for o in outputs])
 
 
-def run_chain(df: DataFrame, stages: Sequence[Stage]) -> DataFrame:
+def run_chain(
+    df: DataFrame, stages: Sequence[Stage], batch_size: int = BATCH_SIZE
+) -> DataFrame:
     """Add one column per stage; a stage may use any earlier variable."""
     schema = _with_outputs(df, list(dict.fromkeys(s.output for s in stages)))
     names = schema.fieldNames()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield _run_stages(stages, batch)[names]
+            yield _run_stages(stages, batch, batch_size)[names]
 
     return df.mapInPandas(run, schema)
 
@@ -89,10 +101,12 @@ def route(
 
 def run_routed(
     routed: DataFrame, chains: Mapping[str, Sequence[Stage]], input_variable: str = "input",
+    default: str = "None", batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """Run on each row the chain of its ``destination``.
 
-    Templates see the routed text under ``input_variable``.  The rows of a batch
+    A null destination, or one without a chain, takes the chain of ``default``; where
+    there is none either, the outputs stay null.  Templates see the routed text under ``input_variable``.  The rows of a batch
     are handled chain by chain and come back in their order, so no shuffle and no
     union of filtered copies is needed.
     """
@@ -104,10 +118,11 @@ def run_routed(
         for batch in batches:
             batch = batch.reset_index(drop=True)
             answers = {o: pd.Series(None, batch.index, "object") for o in outputs}
-            for destination, rows in batch.groupby("destination", sort=True):
+            known = batch["destination"].where(batch["destination"].isin(list(chains)), default)
+            for destination, rows in batch.groupby(known, sort=True):
                 view = rows.assign(**{input_variable: rows["next_input"]})
-                stages = chains[destination]
-                done = _run_stages(stages, view)
+                stages = chains.get(destination, ())
+                done = _run_stages(stages, view, batch_size)
                 for stage in stages:
                     answers[stage.output].loc[rows.index] = done[stage.output]
             yield batch.assign(**answers)[names]

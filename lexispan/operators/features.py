@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
@@ -14,9 +15,11 @@ from lexispan.functions.arrays import value_counts
 from lexispan.operators.bounded import hint_if_bounded
 from lexispan.operators.unnest import unnest
 
-# Up to this many terms the vocabulary is held as a list by the driver and the
-# tasks, as Spark's own vectorizer does (its default bound); beyond, it is joined.
+# Up to this many terms (the default of Spark's own vectorizer) documents are looked up
+# in a list of the terms that every task holds; beyond, the vocabulary is joined.
 MAX_LISTED_TERMS = 262_144
+# Stands in for the terms of an empty vocabulary; no token is this.
+NO_TERM = "\0"
 
 
 def term_counts(df: DataFrame, terms: str, group: Sequence[str] = ()) -> DataFrame:
@@ -52,19 +55,13 @@ def smoothed_idf(documents: Column | int, document_frequency: Column) -> Column:
 def fitted_vocabulary(df: DataFrame, terms: str, top_n: int) -> DataFrame:
     """``(idx, term, cnt, df, idf)`` for the ``top_n`` most frequent terms.
 
-    One scan: occurrences and documents of each term are counted by the same
-    aggregate, over the term array followed by its distinct values.
+    Terms are counted inside the row, so one aggregate over a row per distinct term of
+    a document gives occurrences and documents.  A second, narrow job counts the rows.
     """
-    occurrences = F.transform(
-        terms, lambda t: F.struct(t.alias("term"), F.lit(1).alias("occ"), F.lit(0).alias("doc"))
-    )
-    presences = F.transform(
-        F.array_distinct(terms),
-        lambda t: F.struct(t.alias("term"), F.lit(0).alias("occ"), F.lit(1).alias("doc")),
-    )
     tally = (
-        unnest(df, [], F.concat(occurrences, presences), "e")
-        .groupBy("e.term").agg(F.sum("e.occ").alias("cnt"), F.sum("e.doc").alias("df"))
+        unnest(df, [], value_counts(F.col(terms)), "e")
+        .groupBy(F.col("e.value").alias("term"))
+        .agg(F.sum("e.n").alias("cnt"), F.count(F.lit(1)).alias("df"))
     )
     return with_index(top_terms(tally, top_n)).select(
         "idx", "term", "cnt", "df", smoothed_idf(df.count(), F.col("df")).alias("idf")
@@ -75,13 +72,14 @@ def fitted_vocabulary(df: DataFrame, terms: str, top_n: int) -> DataFrame:
 class TfidfModel:
     """A vocabulary with its inverse document frequencies, ready to apply.
 
-    Learn it from the training documents and apply it to others.
+    Learn it from the training documents and apply it to others.  ``listed`` models
+    look terms up in a list, others join ``table``; both give the same entries.
+    Vectors always need the list of the ``top_n`` terms, which is then fetched once.
     """
 
     table: DataFrame
-    terms: list[str] | None
-    idf: list[float] | None
     top_n: int
+    listed: bool = True
 
     @classmethod
     def fit(
@@ -89,17 +87,30 @@ class TfidfModel:
     ) -> TfidfModel:
         table = fitted_vocabulary(df, terms, top_n)
         if top_n > max_listed:
-            return cls(table, None, None, top_n)
+            return cls(table, top_n, False)
         rows = table.orderBy("idx").collect()
-        local = df.sparkSession.createDataFrame(rows, table.schema)
-        return cls(local, [r["term"] for r in rows], [r["idf"] for r in rows], top_n)
+        return cls(df.sparkSession.createDataFrame(rows, table.schema), top_n)
+
+    @cached_property
+    def _rows(self) -> list:
+        return self.table.select("idx", "term", "idf").orderBy("idx").collect()
+
+    @property
+    def terms(self) -> list[str]:
+        return [r["term"] for r in self._rows]
+
+    @property
+    def idf(self) -> list[float]:
+        return [r["idf"] for r in self._rows]
 
     def counts(self, df: DataFrame, terms: str, output: str) -> DataFrame:
-        """Add a sparse vector of term counts per document; no shuffle."""
-        if not self.terms:
-            raise ValueError("vectors need a listed, non-empty vocabulary")
-        model = CountVectorizerModel.from_vocabulary(self.terms, terms, output)
-        return model.transform(df)
+        """Add a sparse vector of term counts per document; no shuffle.
+
+        An empty vocabulary gives vectors of one zero; a null list has no terms.
+        """
+        model = CountVectorizerModel.from_vocabulary(self.terms or [NO_TERM], "_listed", output)
+        listed = F.coalesce(F.col(terms), F.array().cast("array<string>"))
+        return model.transform(df.withColumn("_listed", listed)).drop("_listed")
 
     def vectors(self, df: DataFrame, terms: str, output: str) -> DataFrame:
         """Add L2-normalised TF-IDF vectors; documents without a term stay zero.
@@ -107,7 +118,7 @@ class TfidfModel:
         The division of counts by document length cancels in the normalisation.
         """
         weighted = ElementwiseProduct(
-            scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted"
+            scalingVec=Vectors.dense(self.idf or [0.0]), inputCol="_counts", outputCol="_weighted"
         )
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
         counted = self.counts(df, terms, "_counts")
@@ -131,7 +142,7 @@ class TfidfModel:
         ``tf`` divides by all terms of the document, known or not.
         """
         rows = df.select(row_key, *keep, terms)
-        if self.terms:
+        if self.listed and self.terms:
             found = self._entries_from_vectors(rows, row_key, terms, keep)
         else:
             found = self._entries_by_join(rows, row_key, terms, keep)
@@ -156,17 +167,22 @@ class TfidfModel:
         ).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
     def _entries_by_join(self, df, row_key, terms, keep):
+        same = F.xxhash64(terms).alias("_row_hash")
         flat = unnest(
-            df, [row_key, *keep, F.size(terms).alias("_n")], value_counts(F.col(terms)), "_e"
+            df, [row_key, *keep, F.size(terms).alias("_n"), same], value_counts(F.col(terms)), "_e"
         ).select(
-            row_key, *keep, "_n", F.col("_e.value").alias("term"),
+            row_key, *keep, "_n", "_row_hash", F.col("_e.value").alias("term"),
             F.col("_e.n").cast("bigint").alias("cnt"),
         )
         known = flat.join(self.table.select("idx", "term", "idf"), "term").withColumn(
             "tf", F.col("cnt") / F.col("_n")
         ).withColumn("tfidf", F.col("tf") * F.col("idf"))
-        norm = F.sqrt(F.sum(F.pow("tfidf", F.lit(2.0))).over(Window.partitionBy(row_key)))
-        return known.withColumn("tfidf_l2", F.col("tfidf") / norm)
+        # Rows that share key and terms are one group here, each term once per copy.
+        row = Window.partitionBy(row_key, "_row_hash")
+        copies = F.count(F.lit(1)).over(Window.partitionBy(row_key, "_row_hash", "idx"))
+        counted = known.withColumn("_copies", copies)
+        norm = F.sqrt(F.sum(F.pow("tfidf", F.lit(2.0)) / F.col("_copies")).over(row))
+        return counted.withColumn("tfidf_l2", F.col("tfidf") / norm)
 
 
 def bag_of_terms(df: DataFrame, row_key: str, terms: str, vocab: DataFrame, top_n: int) -> DataFrame:

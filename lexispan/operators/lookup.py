@@ -101,31 +101,37 @@ def look_up_tokens(
 ) -> DataFrame:
     """Add ``output``: for each token the value that ``table(key, value)`` gives it.
 
-    Tokens without a row give null, or themselves with ``keep_unmatched``.  Keys of
-    the table are unique.  A table of at most ``max_dictionary_rows`` rows goes to
-    the executors as a dictionary and the documents are not shuffled.  A larger one
-    is joined by token (AQE splits hot tokens) and the arrays are put together again
-    by ``row_key``, which must be unique.
+    Tokens without a row give null, or themselves with ``keep_unmatched``.  Of several
+    values of a key the smallest counts.  A table of at most ``max_dictionary_rows``
+    rows goes to the executors as a dictionary and the documents are not shuffled.  A
+    larger one is joined by token (AQE splits hot tokens) and the arrays are put
+    together again by ``row_key`` and a hash of the tokens, so that rows of one key may
+    differ.
     """
+    key, value = table.columns
+    table = table.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
     rows = table.limit(max_dictionary_rows + 1).toArrow()
     if rows.num_rows <= max_dictionary_rows:
         look_up = _by_dictionary(rows, keep_unmatched, df.sparkSession.sparkContext)
         return df.withColumn(output, look_up(F.col(tokens)))
-    key, value = table.columns
-    occurrences = df.select(
-        row_key, F.posexplode_outer(tokens).alias("_pos", "_token")
+    marked = df.withColumn("_same", F.xxhash64(tokens))
+    occurrences = marked.select(
+        row_key, "_same", F.posexplode_outer(tokens).alias("_pos", "_token")
     ).filter(F.col("_pos").isNotNull())
     joined = occurrences.join(
         table.select(F.col(key).alias("_token"), F.col(value).alias("_found")),
         "_token", "left",
     )
     found = F.coalesce("_found", "_token") if keep_unmatched else F.col("_found")
-    in_order = F.sort_array(F.collect_list(F.struct("_pos", found.alias("_value"))))
-    arrays = joined.groupBy(row_key).agg(
-        F.transform(in_order, lambda e: e["_value"]).alias(output)
+    in_order = F.sort_array(F.collect_set(F.struct("_pos", found.alias("_value"))))
+    arrays = joined.groupBy(F.col(row_key).alias("_key"), F.col("_same").alias("_hash")).agg(
+        F.transform(in_order, lambda e: e["_value"]).alias(f"_{output}")
     )
     empty = F.when(F.col(tokens).isNotNull(), F.array().cast("array<string>"))
-    return df.join(arrays, row_key, "left").withColumn(output, F.coalesce(output, empty))
+    same_row = F.col(row_key).eqNullSafe(F.col("_key")) & (F.col("_same") == F.col("_hash"))
+    return marked.join(arrays, same_row, "left").withColumn(
+        output, F.coalesce(f"_{output}", empty)
+    ).drop("_same", "_key", "_hash", f"_{output}")
 
 
 def lemmatize(

@@ -6,6 +6,9 @@ where it lies.  A table beyond the size bound is joined by word instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,15 +17,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from lexispan.functions.arrays import value_counts
-from lexispan.operators.bounded import hint_if_bounded
+from lexispan.operators.bounded import hint_if_bounded, null_safe_join
 from lexispan.operators.features import TfidfModel
 
 MAX_MATRIX_BYTES = 64 * 1024 * 1024
 BYTES_PER_NUMBER = 4
 
 
+class WordVectors:
+    """An embedding table ``(word, vec)`` for use in several poolings.
+
+    Rows with a null word or vector are left out; of several vectors of a word the
+    smallest, number by number from the first, counts.  A table of at most
+    ``max_matrix_bytes`` is fetched once, as a matrix.
+    """
+
+    def __init__(
+        self, embedding: DataFrame, dims: int | None = None,
+        max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    ) -> None:
+        known = embedding.filter(F.col("word").isNotNull() & F.col("vec").isNotNull())
+        self.table = known.groupBy("word").agg(F.min("vec").alias("vec"))
+        self.dims = dims or vector_size(embedding)
+        self.max_matrix_bytes = max_matrix_bytes
+
+    @cached_property
+    def matrix(self):
+        return _small_matrix(self.table, self.dims, self.max_matrix_bytes)
+
+
+def word_vectors(
+    embedding: DataFrame | WordVectors, dims: int | None = None,
+    max_matrix_bytes: int = MAX_MATRIX_BYTES,
+) -> WordVectors:
+    if isinstance(embedding, WordVectors):
+        return embedding
+    return WordVectors(embedding, dims, max_matrix_bytes)
+
+
 def vector_size(embedding: DataFrame) -> int:
-    row = embedding.select(F.size("vec").alias("d")).first()
+    row = embedding.filter("vec IS NOT NULL").select(F.size("vec").alias("d")).first()
     if row is None:
         raise ValueError("the embedding table is empty")
     return row["d"]
@@ -86,25 +120,30 @@ def _check(how: str) -> None:
 
 
 def pool_words(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, how: str = "mean",
-    dims: int | None = None, max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame | WordVectors,
+    how: str = "mean", dims: int | None = None, max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(row_key, features)``: mean or max of the vectors of a document's words.
+    """``(row_key, keep.., features)``: mean or max of the vectors of a document's words.
 
-    ``embedding(word, vec)`` has one row per word.  A document with no known word
-    gets zeros.  Beyond ``max_matrix_bytes`` words are counted inside the row and
-    joined; Spark splits hot words, and the vectors are summed dimension by
-    dimension in the aggregate, so they are never exploded.
+    A document with no known word gets zeros.  Beyond ``max_matrix_bytes`` words are
+    counted inside the row and joined; Spark splits hot words, and the vectors are
+    summed dimension by dimension in the aggregate, so they are never exploded.
     """
     _check(how)
-    dims = dims or vector_size(embedding)
-    small = _small_matrix(embedding, dims, max_matrix_bytes)
-    if small is None:
-        counted = df.select(
-            row_key, F.inline_outer(value_counts(F.col(tokens)))
-        ).select(row_key, F.col("value").alias("word"), "n")
-        return _pooled(counted.join(embedding, "word", "left"), row_key, dims, how)
-    shared = df.sparkSession.sparkContext.broadcast(small)
+    vectors = word_vectors(embedding, dims, max_matrix_bytes)
+    if vectors.matrix is None:
+        marked = df.select(row_key, *keep, tokens, F.xxhash64(tokens).alias("_same"))
+        counted = marked.select(
+            row_key, "_same", F.inline_outer(value_counts(F.col(tokens)))
+        ).select(row_key, "_same", F.col("value").alias("word"), "n")
+        pooled = _pooled(
+            counted.join(vectors.table, "word", "left"), row_key, vectors.dims, how
+        )
+        return null_safe_join(marked, pooled, [row_key, "_same"]).select(
+            row_key, *keep, "features"
+        )
+    shared = df.sparkSession.sparkContext.broadcast(vectors.matrix)
 
     @F.arrow_udf(ArrayType(DoubleType()))
     def pool(lists: pa.Array) -> pa.Array:
@@ -113,25 +152,26 @@ def pool_words(
         found = pc.index_in(flat, value_set=words.cast(flat.type))
         return _pool_rows(columns, pc.fill_null(found, -1).to_numpy(), _offsets(lists), how)
 
-    return df.select(row_key, pool(tokens).alias("features"))
+    return df.select(row_key, *keep, pool(tokens).alias("features"))
 
 
 def pool_weighted(
-    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame, model: TfidfModel,
-    dims: int | None = None, max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    df: DataFrame, row_key: str, tokens: str, embedding: DataFrame | WordVectors,
+    model: TfidfModel, dims: int | None = None, max_matrix_bytes: int = MAX_MATRIX_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(row_key, features)``: word vectors averaged with their TF-IDF weights.
+    """``(row_key, keep.., features)``: word vectors averaged with their TF-IDF weights.
 
     Words outside the model's vocabulary or the embedding count for nothing; when
     all weights are 0 the plain mean is taken, and zeros when no word is known.
     """
-    dims = dims or vector_size(embedding)
+    known = word_vectors(embedding, dims, max_matrix_bytes)
     # At most one row per vocabulary term.
-    vectors = model.table.select("idx", F.col("term").alias("word")).join(embedding, "word")
-    fits = model.top_n * dims * BYTES_PER_NUMBER <= max_matrix_bytes
-    if not (model.terms and fits):
-        return _pool_weighted_by_join(df, row_key, tokens, vectors, model, dims)
-    words, columns = _small_matrix(vectors, dims, max_matrix_bytes)
+    vectors = model.table.select("idx", F.col("term").alias("word")).join(known.table, "word")
+    fits = model.top_n * known.dims * BYTES_PER_NUMBER <= known.max_matrix_bytes
+    if not (model.listed and model.terms and fits):
+        return _pool_weighted_by_join(df, row_key, tokens, vectors, model, known.dims, keep)
+    words, columns = known.matrix or _small_matrix(vectors, known.dims, known.max_matrix_bytes)
     places = {word: i for i, word in enumerate(words.to_pylist())}
     rows = np.array([places.get(term, -1) for term in model.terms], dtype=np.int64)
     shared = df.sparkSession.sparkContext.broadcast((rows, columns))
@@ -144,28 +184,36 @@ def pool_weighted(
             counts.flatten().to_numpy(), weights.flatten().to_numpy(),
         )
 
-    parts = model.sparse_parts(df.select(row_key, tokens), tokens)
+    parts = model.sparse_parts(df.select(row_key, *keep, tokens), tokens)
     return parts.select(
-        row_key, pool("_c.indices", "_c.values", "_u.values").alias("features")
+        row_key, *keep, pool("_c.indices", "_c.values", "_u.values").alias("features")
     )
 
 
-def _pool_weighted_by_join(df, row_key, tokens, vectors, model, dims):
-    entries = model.entries(df, row_key, tokens).select(
-        row_key, "idx", F.col("cnt").alias("n"), F.col("tfidf_l2").alias("weight")
+def _pool_weighted_by_join(df, row_key, tokens, vectors, model, dims, keep):
+    marked = df.select(row_key, *keep, tokens, F.xxhash64(tokens).alias("_same"))
+    entries = model.entries(marked, row_key, tokens, ["_same"]).select(
+        row_key, "_same", "idx", F.col("cnt").alias("n"), F.col("tfidf_l2").alias("weight")
     )
     joined = entries.join(
         hint_if_bounded(vectors.select("idx", "vec"), model.top_n), "idx"
     )
-    pooled = _pooled(joined, row_key, dims, "weighted")
+    pooled = _pooled(joined, row_key, dims, "weighted").withColumnsRenamed(
+        {row_key: "_key", "_same": "_hash"}
+    )
+    same_row = F.col(row_key).eqNullSafe(F.col("_key")) & (F.col("_same") == F.col("_hash"))
     zeros = F.array_repeat(F.lit(0.0), dims)
-    return df.select(row_key).join(pooled, row_key, "left").withColumn(
-        "features", F.coalesce("features", zeros)
+    return marked.join(pooled, same_row, "left").select(
+        row_key, *keep, F.coalesce("features", zeros).alias("features")
     )
 
 
 def _pooled(joined: DataFrame, row_key: str, dims: int, how: str) -> DataFrame:
-    """Aggregate ``(row_key, n, weight, vec)`` rows, ``vec`` null where unknown."""
+    """Aggregate ``(row_key, _same, n, weight, vec)`` rows, ``vec`` null where unknown.
+
+    Rows that share key and tokens fall into one group; that weighs all their words
+    alike and leaves the result as it is.
+    """
     known = F.col("vec").isNotNull()
 
     def total(weight: Column) -> list[Column]:
@@ -186,6 +234,6 @@ def _pooled(joined: DataFrame, row_key: str, dims: int, how: str) -> DataFrame:
         ]
     else:
         raise ValueError(f"unknown pooling: {how}")
-    return joined.groupBy(row_key).agg(
+    return joined.groupBy(row_key, "_same").agg(
         F.array(*[F.coalesce(v, F.lit(0.0)) for v in values]).alias("features")
     )

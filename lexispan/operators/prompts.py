@@ -1,12 +1,14 @@
 """Ready-made chains: reply to a review, route a question, advertise a product.
 
-The templates below are fixed values: prompts and the names of their variables.
+The first templates below are fixed values, prompts and the names of their variables;
+the routing, answering and advertising prompts are this package's own.
 """
 
 from __future__ import annotations
 
 from lexispan.operators.chains import Model, Stage
 
+# Fixed values.
 LANGUAGE = "Identify the language of the following: {review}"
 TRANSLATE_REVIEW = "Translate the following from {language} into English: {review}"
 SUMMARIZE = "Summarize the following: {english_review}"
@@ -23,15 +25,9 @@ ROUTE = (
     "Reply with a JSON object that has the string fields destination (the {kind}) "
     "and next_inputs (the text to pass on)."
 )
-ANSWER = "You are a top-tier {role}. Answer the question in concise, rigorous terms.\n\n{{input}}"
-NAME = (
-    "You are a {role}. Generate a unique, memorable, and brand-ready name for the "
-    "product described. Product Description: {{input}}"
-)
-ADVERTISE = (
-    "You are a {role}. Write a compelling and persuasive advertisement for {{name}} "
-    "using this product description: {{input}}"
-)
+ANSWER = "Answer as a {role} would, briefly and exactly.\nQuestion: {{input}}"
+NAME = "Think of one short product name, as a {role}. The product: {{input}}"
+ADVERTISE = "As a {role}, advertise {{name}} in a few sentences. The product: {{input}}"
 
 
 def review_reply_chain(model: Model) -> list[Stage]:

@@ -209,20 +209,12 @@ def first_rows_per_group(
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, spread: str,
-    salts: int = 32,
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
     """The first ``n`` rows of every group, each row with its 1-based ``rank``.
 
-    A hot group is cut into ``salts`` parts by a hash of ``spread``; each part keeps
-    its own first ``n`` rows, which is all the final ranking needs to see.
+    Spark cuts each task's part of a group to its first ``n`` rows before the
+    shuffle, so a hot group arrives as ``n`` rows per task.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    part = Window.partitionBy(*group, "_salt").orderBy(*order)
-    kept = salted.withColumn("_part_rank", F.row_number().over(part)).filter(
-        F.col("_part_rank") <= n
-    )
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return kept.withColumn("rank", rank).filter(F.col("rank") <= n).drop(
-        "_salt", "_part_rank"
-    )
+    return df.withColumn("rank", rank).filter(F.col("rank") <= n)

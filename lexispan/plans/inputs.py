@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.functions.text import content_words, words
-from lexispan.operators.lookup import changed_lemmas, lemmatize
+from lexispan.operators.lookup import MAX_DICTIONARY_ROWS, changed_lemmas, lemmatize
 from lexispan.operators.qa_windows import eval_features
 from lexispan.operators.unnest import unnest
 from lexispan.sources.corpora import labelled_reviews
@@ -22,7 +22,7 @@ STRIDE = 128
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return scan(spark, f"{sf_dir}/documents.parquet", *columns, key="doc_id")
+    return scan(spark, f"{sf_dir}/documents.parquet", *columns)
 
 
 def news_label() -> Column:
@@ -48,14 +48,12 @@ def own_lemmas(lexicon: DataFrame) -> DataFrame:
     return changed_lemmas(lexicon.select(F.col("word").alias("token")), lexicon)
 
 
-def with_lemmas(df: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-    """Lemmatise ``tokens`` of ``(doc_id, .., tokens)``.
-
-    The lexicon is the set of distinct words of ``corpus``, or of ``df`` itself.
-    """
-    source = df if corpus is None else corpus
-    lexicon = unnest(source, [], "tokens", "word").distinct()
-    return lemmatize(df, "doc_id", "tokens", own_lemmas(lexicon), "tokens")
+def with_lemmas(df: DataFrame, max_dictionary_rows: int = MAX_DICTIONARY_ROWS) -> DataFrame:
+    """Lemmatise ``tokens`` of ``(doc_id, .., tokens)``; the lexicon is its distinct words."""
+    lexicon = unnest(df, [], "tokens", "word").distinct()
+    return lemmatize(
+        df, "doc_id", "tokens", own_lemmas(lexicon), "tokens", max_dictionary_rows
+    )
 
 
 def news_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,12 +73,17 @@ VECTOR_SIZE = 64
 
 
 def embedding_table(spark: SparkSession, sf_dir: str, tokens: DataFrame) -> DataFrame:
-    """``(word, vec)`` for words that occur at least twice in the corpus; 64 numbers."""
-    counts = unnest(tokens, [], "tokens", "word").groupBy("word").count()
+    """``(word, vec)`` for seven eighths of the corpus's words, chosen by hash; 64 numbers.
+
+    The rest are words that the embedding does not know.
+    """
+    distinct = unnest(tokens, [], "tokens", "word").distinct()
     vectors = scan(spark, f"{sf_dir}/embeddings.parquet", "vec_id", "embedding")
     total = vectors.count()
     number = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint")
-    known = counts.filter("count > 1").select("word", (number % total).alias("vec_id"))
+    known = distinct.filter(F.substring(F.md5("word"), 9, 1) < "e").select(
+        "word", (number % total).alias("vec_id")
+    )
     return known.join(vectors, "vec_id").select("word", F.col("embedding").alias("vec"))
 
 
@@ -127,24 +130,32 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _word(i: int) -> Column:
-    return F.coalesce(F.get("ws", F.lit(i)), F.lit(""))
-
-
 def qa_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, has, ws, text, source)`` of labelled documents."""
+    """``(doc_id, has, ws, at, n, text, source)`` of labelled documents.
+
+    Answers are ``n`` words, 60 at most, from word ``at`` on, anywhere in the text.
+    """
     docs = documents(spark, sf_dir, "doc_id", "text", "source")
     labels = scan(spark, f"{sf_dir}/labels.parquet", "doc_id", "quality")
-    return docs.join(labels, "doc_id").select(
+    split = docs.join(labels, "doc_id").select(
         "doc_id", (F.col("quality") == 1).alias("has"), F.split("text", " ").alias("ws"),
         "text", "source",
     )
+    return split.withColumns({
+        "at": ((F.col("doc_id") * 7919) % F.size("ws")).cast("int"),
+        "n": (F.col("doc_id") % 60 + 1).cast("int"),
+    })
+
+
+def _words_from(first: Column, n: Column) -> Column:
+    """``n`` words of the text from the 0-based word ``first`` on, joined by blanks."""
+    return F.array_join(F.slice("ws", first + 1, n), " ")
 
 
 def qa_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(qid, golds)``: two gold answers, or none."""
-    first = F.concat_ws(" ", _word(0), _word(1), _word(2))
-    second = F.concat_ws(" ", _word(1), _word(2))
+    """``(qid, golds)``: two gold answers, a long one and its first half, or none."""
+    first = _words_from(F.col("at"), F.col("n"))
+    second = _words_from(F.col("at"), F.ceil(F.col("n") / 2).cast("int"))
     golds = F.when(F.col("has"), F.array(first, second)).otherwise(
         F.array().cast("array<string>")
     )
@@ -156,8 +167,8 @@ def qa_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     qid = F.col("doc_id")
     text = (
         F.when(qid % 5 == 0, "")
-        .when(qid % 3 == 0, F.concat_ws(" ", _word(1), _word(2), _word(3)))
-        .otherwise(F.concat_ws(" ", _word(0), _word(1), _word(2)))
+        .when(qid % 3 == 0, _words_from(F.col("at") + 1, F.col("n")))
+        .otherwise(_words_from(F.col("at"), F.col("n")))
     )
     return qa_source(spark, sf_dir).filter(qid % 11 != 0).select(
         qid.alias("qid"), text.alias("text")
@@ -173,9 +184,9 @@ def qa_na_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, title, question, context, answers)``; the answer is the 4th to 6th word."""
-    answer = F.concat_ws(" ", _word(3), _word(4), _word(5))
-    start = F.length(F.concat_ws(" ", _word(0), _word(1), _word(2))) + 1
+    """``(id, title, question, context, answers)``; answers lie in any window or across two."""
+    answer = _words_from(F.col("at"), F.col("n"))
+    start = F.length(_words_from(F.lit(0), F.col("at"))) + F.when(F.col("at") > 0, 1).otherwise(0)
     has = F.col("has") & (F.size("ws") > 5)
     answers = F.struct(
         F.when(has, F.array(answer)).otherwise(F.array().cast("array<string>")).alias("text"),

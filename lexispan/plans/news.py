@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
-from lexispan.functions.text import ngram_range, ngrams, words
+from lexispan.functions.text import ngram_range, ngrams, parse_list, words
 from lexispan.operators import features, models, pooling, sampling
 from lexispan.operators.lookup import tagged_ngrams
-from lexispan.operators.metrics import to_classes, to_signs
+from lexispan.operators.metrics import binary_report, to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
 from lexispan.operators.unnest import unnest
 from lexispan.plans import inputs, sql
@@ -43,7 +43,7 @@ def _counts_by_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_words_per_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = top_per_group(
         _counts_by_corpus(spark, sf_dir), ["label"], [F.desc("cnt"), F.col("term")],
-        TOP_WORDS, "term",
+        TOP_WORDS,
     )
     return top.select("label", "rank", F.col("term").alias("word"), "cnt")
 
@@ -59,6 +59,18 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_text_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``clean_text``, by the join that a large dictionary takes."""
+    tokens = inputs.with_lemmas(inputs.news_words(spark, sf_dir), max_dictionary_rows=0)
+    return tokens.select("doc_id", F.array_join("tokens", " ").alias("clean_text"))
+
+
+def stored_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words stored as the text of a list and read back."""
+    stored = inputs.news_words(spark, sf_dir).select("doc_id", F.to_json("tokens").alias("list"))
+    return stored.select("doc_id", F.array_join(parse_list(F.col("list")), " ").alias("words"))
+
+
 def lemma_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = unnest(inputs.news_words(spark, sf_dir), [], "tokens", "word").distinct()
     tokens = lexicon.select(F.col("word").alias("token"))
@@ -108,9 +120,9 @@ def _kept_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep(inputs.news_tokens(spark, sf_dir))
 
 
-def _tfidf_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tfidf_entries(spark: SparkSession, sf_dir: str, max_listed: int = TFIDF_TERMS) -> DataFrame:
     tokens = _kept_tokens(spark, sf_dir)
-    model = features.TfidfModel.fit(tokens, "tokens", TFIDF_TERMS)
+    model = features.TfidfModel.fit(tokens, "tokens", TFIDF_TERMS, max_listed)
     return model.entries(tokens, "doc_id", "tokens")
 
 
@@ -127,13 +139,22 @@ def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tfidf_entries(spark, sf_dir).select(
+def _tfidf_columns(entries: DataFrame) -> DataFrame:
+    return entries.select(
         "doc_id", "idx", F.round("tfidf", 6).alias("tfidf"),
         F.round("tfidf_l2", 6).alias("tfidf_l2"),
     )
 
 
+def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tfidf_columns(_tfidf_entries(spark, sf_dir))
+
+
+def tfidf_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``tfidf_l2``, by the join that a large vocabulary takes."""
+    return _tfidf_columns(_tfidf_entries(spark, sf_dir, max_listed=0))
+
+
 def tfidf_fit_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary and frequencies from the 80 % split, applied to both parts."""
     tokens = _kept_tokens(spark, sf_dir)
@@ -151,18 +172,19 @@ def _dimensions(pooled: DataFrame) -> DataFrame:
     )
 
 
-def _pool(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+def _pool(
+    spark: SparkSession, sf_dir: str, how: str,
+    max_matrix_bytes: int = pooling.MAX_MATRIX_BYTES,
+) -> DataFrame:
     tokens = _kept_tokens(spark, sf_dir)
-    embedding = inputs.embedding_table(spark, sf_dir, tokens)
+    embedding = pooling.WordVectors(
+        inputs.embedding_table(spark, sf_dir, tokens), inputs.VECTOR_SIZE, max_matrix_bytes
+    )
     if how == "weighted":
         model = features.TfidfModel.fit(tokens, "tokens", REVIEW_TERMS)
-        pooled = pooling.pool_weighted(
-            tokens, "doc_id", "tokens", embedding, model, inputs.VECTOR_SIZE
-        )
+        pooled = pooling.pool_weighted(tokens, "doc_id", "tokens", embedding, model)
     else:
-        pooled = pooling.pool_words(
-            tokens, "doc_id", "tokens", embedding, how, inputs.VECTOR_SIZE
-        )
+        pooled = pooling.pool_words(tokens, "doc_id", "tokens", embedding, how)
     return _dimensions(pooled)
 
 
@@ -178,6 +200,16 @@ def pool_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pool(spark, sf_dir, "weighted")
 
 
+def pool_mean_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``pool_mean``, by the join that a large embedding takes."""
+    return _pool(spark, sf_dir, "mean", max_matrix_bytes=0)
+
+
+def pool_tfidf_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``pool_tfidf``, by the join that a large embedding takes."""
+    return _pool(spark, sf_dir, "weighted", max_matrix_bytes=0)
+
+
 def svm_predict_fixed_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions of a linear rule with weights that follow from the term index."""
     tokens = _kept_tokens(spark, sf_dir)
@@ -212,15 +244,15 @@ def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _labelled_split(spark, sf_dir)
-    embedding = keep(inputs.embedding_table(spark, sf_dir, train))
+    embedding = pooling.WordVectors(
+        inputs.embedding_table(spark, sf_dir, train), inputs.VECTOR_SIZE
+    )
 
     def vectors(df: DataFrame) -> DataFrame:
         pooled = pooling.pool_words(
-            df, "doc_id", "tokens", embedding, "mean", inputs.VECTOR_SIZE
-        )
-        return df.select("doc_id", "label").join(pooled, "doc_id").withColumn(
-            "features", array_to_vector("features")
+            df, "doc_id", "tokens", embedding, "mean", keep=("label",)
         )
+        return pooled.withColumn("features", array_to_vector("features"))
 
     model = models.fit_logistic(vectors(train))
     return model.transform(vectors(test)).select(
@@ -228,11 +260,91 @@ def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _report(model, train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row per part: rows, and accuracy, precision, recall and F1 of the fitted model."""
+    both = train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+    scored = model.transform(both).withColumn("pred", F.col("pred").cast("int"))
+    report = binary_report(scored, "label", "pred", ["part"])
+    return report.select("part", "n", "accuracy", "precision", "recall", "f1")
+
+
+def _ngram_svm(spark: SparkSession, sf_dir: str, terms) -> DataFrame:
+    train, test = (
+        part.select("doc_id", "label", terms.alias("terms"))
+        for part in _labelled_split(spark, sf_dir)
+    )
+    return _count_svm(train, test)
+
+
+def _count_svm(train: DataFrame, test: DataFrame) -> DataFrame:
+    counts = features.TfidfModel.fit(train, "terms", NGRAM_TERMS)
+    train = counts.counts(train, "terms", "features").select("doc_id", "label", "features")
+    test = counts.counts(test, "terms", "features").select("doc_id", "label", "features")
+    return _report(models.fit_svm(train, penalty=0.01), train, test)
+
+
+def svm_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram counts, linear SVM, 70 : 30: how well the corpora are told apart."""
+    return _ngram_svm(spark, sf_dir, ngrams(F.col("tokens"), 2))
+
+
+def svm_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ngram_svm(spark, sf_dir, ngrams(F.col("tokens"), 3))
+
+
+def svm_pos_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with bigrams of nouns and adjectives, not lemmatised."""
+    docs = inputs.news(spark, sf_dir).select(
+        "doc_id", to_classes(F.col("label")).alias("label"), words(F.col("text")).alias("tokens")
+    )
+    tagged = keep(tagged_ngrams(
+        docs, "doc_id", "tokens", inputs.tag_lexicon(spark, sf_dir), "terms",
+        stop_words=tuple(ENGLISH_STOP_WORDS),
+    ).select("doc_id", "label", "terms"))
+    rows = sampling.train_rows_70_30(tagged.count())
+    split = sampling.split_exact(tagged, "doc_id", rows, inputs.SEED)
+    return _count_svm(split.filter("split = 'train'"), split.filter("split = 'test'"))
+
+
+def svm_known_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An SVM on one feature of -1 and 1 that agrees with four fifths of the labels.
+
+    Its optimum is weight 1 and bias 0, which decides by the feature.
+    """
+    x = F.when(F.col("doc_id") % 2 == 0, 1.0).otherwise(-1.0)
+    right = (F.col("doc_id") / 2).cast("long") % 5 != 0
+    rows = inputs.documents(spark, sf_dir, "doc_id").select(
+        "doc_id", F.when(right == (x > 0), 1).otherwise(0).alias("label"),
+        array_to_vector(F.array(x)).alias("features"),
+    )
+    scored = models.fit_svm(rows, penalty=0.001).transform(rows)
+    margin = F.get(vector_to_array("margin"), F.lit(1))
+    return scored.select(
+        "doc_id", F.col("pred").cast("int").alias("pred"), F.round(margin, 1).alias("margin")
+    )
+
+
+def logreg_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unpenalised logistic regression on one 0 / 1 feature: the share of each group."""
+    labels = inputs.predictions(spark, sf_dir).select(
+        (F.col("doc_id") % 3 == 0).cast("int").alias("x"), F.col("y").alias("label")
+    ).withColumn("features", array_to_vector(F.array(F.col("x").cast("double"))))
+    model = models.fit_logistic(labels, inverse_penalty=1e9)
+    share = F.get(vector_to_array("probability"), F.lit(1))
+    return model.transform(labels).groupBy("x").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max(share), 3).alias("share")
+    )
+
+
 QUERIES = {f.__name__: f for f in [
     top_words_per_corpus, top_words_all, clean_text, lemma_map, bigram_vocab, trigram_vocab,
     ngram_range_vocab, pos_bigram_vocab, bag_of_bigrams, term_frequency, idf, tfidf_l2,
     tfidf_fit_transform, pool_mean, pool_max, pool_tfidf, svm_predict_fixed_weights,
-    svm_fit, logreg_fit,
+    svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
+    pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
+    logreg_closed_form,
 ]}
 
 _COUNTS = f"""WITH {sql.CLEAN},
@@ -335,6 +447,15 @@ FROM entries e JOIN split s ON e.doc_id = s.doc_id""",
     "pool_mean": _pool_sql("mean"),
     "pool_max": _pool_sql("max"),
     "pool_tfidf": _pool_sql("weighted"),
+    "stored_list": f"""WITH {sql.NEWS}
+SELECT doc_id, array_to_string(tokens, ' ') AS words FROM words""",
+    "svm_known_optimum": """
+SELECT doc_id, CAST(doc_id % 2 = 0 AS INTEGER) AS pred,
+       CASE WHEN doc_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS margin
+FROM documents""",
+    "logreg_closed_form": """
+SELECT CAST(doc_id % 3 = 0 AS INTEGER) AS x, count(*) AS n, round(avg(quality), 3) AS share
+FROM labels GROUP BY ALL""",
     "svm_predict_fixed_weights": f"""WITH {sql.CLEAN},
 {sql.tfidf('clean', 'clean', TFIDF_TERMS)},
 scored AS (
@@ -344,3 +465,9 @@ SELECT doc_id, round(score, 6) + 0.0 AS score, CAST(sign(score) AS INTEGER) AS s
        CASE WHEN score > 0 THEN 1 ELSE 0 END AS pred
 FROM scored""",
 }
+ORACLES |= {
+    "clean_text_joined": ORACLES["clean_text"],
+    "tfidf_joined": ORACLES["tfidf_l2"],
+    "pool_mean_joined": ORACLES["pool_mean"],
+    "pool_tfidf_joined": ORACLES["pool_tfidf"],
+}

@@ -108,6 +108,26 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion_matrix(inputs.predictions(spark, sf_dir), "y", "pred")
 
 
+def confusion_matrix_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three classes, one of which is never predicted: its rows have no prediction."""
+    rows = inputs.predictions(spark, sf_dir)
+    lost = F.col("doc_id") % 4 == 0
+    marked = rows.select(
+        F.when(lost, 2).otherwise(F.col("y")).alias("y"), F.when(~lost, F.col("pred")).alias("pred")
+    )
+    return metrics.confusion_matrix(marked, "y", "pred")
+
+
+def sampled_balanced_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the reviews, balanced, split 80 : 20: sizes and shares of the labels."""
+    labelled = inputs.sentiment(spark, sf_dir).select("doc_id", "label")
+    sample = keep(sampling.sample_fraction(labelled, "doc_id", FRACTION, inputs.SEED))
+    balanced = keep(sampling.balance_classes(sample, "doc_id", "label", inputs.SEED))
+    rows = sampling.train_rows_80_20(balanced.count())
+    split = sampling.split_exact(balanced, "doc_id", rows, inputs.SEED)
+    return split.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def metrics_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = metrics.binary_report(
         inputs.model_predictions(spark, sf_dir), "y", "pred", ["model"]
@@ -132,7 +152,7 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in [
     label_reviews, sample_fraction, sample_fraction_hash, seeded_shuffle, head_fraction,
     interleave, balance_classes, split_70_30, split_70_30_hash, split_80_20,
-    label_distribution, split_sizes, binary_metrics, confusion_matrix, metrics_by_model,
+    label_distribution, split_sizes, confusion_matrix_nulls, sampled_balanced_distribution, binary_metrics, confusion_matrix, metrics_by_model,
     model_comparison,
 ]}
 
@@ -175,7 +195,7 @@ FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN -1 ELSE 1 END AS label FROM d
     "balance_classes": f"WITH {sql.REVIEWS}\nSELECT doc_id, label, text FROM balanced",
     "split_70_30": """
 SELECT doc_id, lang, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id)
-                           <= (SELECT count(*) * 7 // 10 FROM documents)
+                           <= (SELECT CAST(trunc(CAST(0.7 AS DOUBLE) * count(*)) AS BIGINT) FROM documents)
                     THEN 'train' ELSE 'test' END AS split
 FROM documents""",
     "split_70_30_hash": """
@@ -193,5 +213,30 @@ classes AS (SELECT y AS c FROM predictions UNION SELECT pred FROM predictions)
 SELECT a.c AS y, b.c AS pred, (
   SELECT count(*) FROM predictions p WHERE p.y = a.c AND p.pred = b.c) AS n
 FROM classes a CROSS JOIN classes b""",
+    "confusion_matrix_nulls": f"""WITH {sql.PREDICTIONS},
+marked AS (
+  SELECT CASE WHEN doc_id % 4 = 0 THEN 2 ELSE y END AS y,
+         CASE WHEN doc_id % 4 <> 0 THEN pred END AS pred FROM predictions),
+classes AS (
+  SELECT y AS c FROM marked UNION SELECT pred FROM marked WHERE pred IS NOT NULL)
+SELECT a.c AS y, b.c AS pred, (
+  SELECT count(*) FROM marked p WHERE p.y = a.c AND p.pred = b.c) AS n
+FROM classes a CROSS JOIN classes b""",
+    "sampled_balanced_distribution": f"""WITH {sql.REVIEWS},
+sampled AS (
+  SELECT doc_id, label FROM (
+    SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r FROM sentiment)
+  WHERE r <= (SELECT round_even(count(*) * 0.2, 0) FROM sentiment)),
+even AS (
+  SELECT doc_id, label FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id), doc_id) AS r
+    FROM sampled)
+  WHERE r <= (SELECT min(n) FROM (SELECT count(*) AS n FROM sampled GROUP BY label))),
+parts AS (
+  SELECT label, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id)
+                          <= (SELECT count(*) - ceil(count(*) * 2 / 10) FROM even)
+                     THEN 'train' ELSE 'test' END AS split
+  FROM even)
+SELECT split, label, count(*) AS n FROM parts GROUP BY ALL""",
     "metrics_by_model": f"WITH {sql.MODEL_PREDICTIONS} {_scores_sql('by_model', 'model')}",
 }

@@ -11,19 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 _shipped: set[str] = set()
-_kept: list[DataFrame] = []
+_kept: dict[str, list[DataFrame]] = {}
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Persist a table that one query reads several times, until ``release_kept``."""
-    _kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+    application = df.sparkSession.sparkContext.applicationId
+    _kept.setdefault(application, []).append(df.persist(StorageLevel.MEMORY_AND_DISK))
     return df
 
 
-def release_kept() -> None:
-    """Free what earlier queries kept; they would only compute it again."""
-    while _kept:
-        _kept.pop().unpersist()
+def release_kept(spark: SparkSession) -> None:
+    """Free what earlier queries of this application kept.
+
+    A frame that was built but has not run yet stays right; it computes its table
+    again.  What an application kept that has ended is gone with it.
+    """
+    for df in _kept.pop(spark.sparkContext.applicationId, []):
+        df.unpersist()
+    _kept.clear()
 
 
 def ship_package(spark: SparkSession) -> None:

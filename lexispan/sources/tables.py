@@ -7,21 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scan(spark: SparkSession, path: str, *columns: str, key: str | None = None) -> DataFrame:
-    """Read the given columns of a Parquet table.
+def scan(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """Read the given columns of a Parquet table as it lies.
 
-    A table of fewer files than the cluster has cores would keep most of them
-    idle, since a row group is read by one task.  Only then, and only when a
-    ``key`` is given, its rows are spread by that key; larger tables are read as
-    they lie.
+    Splits follow the row groups and ``spark.sql.files.maxPartitionBytes``.
     """
     df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if key is not None and len(df.inputFiles()) < cores:
-        return df.repartition(cores, key)
-    return df
+    return df.select(*columns) if columns else df
 
 
 def materialised(

@@ -63,3 +63,17 @@ def test_plain_column_template(rows):
 
     out = rows.select("id", render_template("q: {input}").alias("p")).filter(F.col("id") == 3)
     assert out.first()["p"] == "q: "
+
+
+def test_calls_are_cut_and_unknown_destinations_take_the_default(spark):
+    def model(prompts):
+        assert len(prompts) <= 2
+        return [p.upper() for p in prompts]
+
+    rows = [(i, d, f"t{i}") for i, d in enumerate(["a", None, "zzz", "a", "a"])]
+    df = spark.createDataFrame(rows, "id int, destination string, next_input string")
+    own = {"a": [Stage("A {input}", model, "text")], "None": [Stage("N {input}", model, "text")]}
+    found = {r["id"]: r["text"] for r in chains.run_routed(df, own, batch_size=2).collect()}
+    assert found == {0: "A T0", 1: "N T1", 2: "N T2", 3: "A T3", 4: "A T4"}
+    alone = {r["id"]: r["text"] for r in chains.run_routed(df, {"a": own["a"]}, batch_size=2).collect()}
+    assert alone == {0: "A T0", 1: None, 2: None, 3: "A T3", 4: "A T4"}

@@ -73,7 +73,7 @@ def test_vocabulary_ties_in_text_order(spark):
 def test_vectors_and_join_agree(docs):
     listed = features.TfidfModel.fit(docs, "tokens", 4)
     joined = features.TfidfModel.fit(docs, "tokens", 4, max_listed=0)
-    assert joined.terms is None
+    assert not joined.listed and joined.terms == listed.terms
 
     def rows(model):
         found = model.entries(docs, "id", "tokens").collect()
@@ -129,8 +129,7 @@ def test_weighted_pooling(docs, embedding):
 
 def test_weighted_pooling_without_weight_is_the_mean(docs, embedding):
     model = features.TfidfModel.fit(docs, "tokens", 3)
-    flat = features.TfidfModel(
-        model.table.withColumn("idf", F.lit(0.0)), model.terms, [0.0] * 3, 3)
+    flat = features.TfidfModel(model.table.withColumn("idf", F.lit(0.0)), 3)
     rows = {r["id"]: r["features"]
             for r in pooling.pool_weighted(docs, "id", "tokens", embedding, flat, 2).collect()}
     assert close(rows[2], [7 / 3, 2.0])
@@ -142,3 +141,56 @@ def test_bag_of_terms(docs):
         rows = features.bag_of_terms(docs, "id", "tokens", vocab, bound).collect()
         assert {(r["id"], r["idx"]): r["cnt"] for r in rows} == {
             (1, 1): 1, (2, 1): 1, (2, 2): 2, (5, 0): 400, (5, 1): 1}
+
+
+ODD_ROWS = [(1, ["cat", "dog"]), (1, ["cat"]), (2, ["dog", "dog"]), (2, ["dog", "dog"]), (None, ["cat"]), (3, None)]
+
+
+@pytest.mark.parametrize("how", ["mean", "max", "weighted"])
+def test_pooling_sides_agree_on_repeats_and_nulls(spark, how):
+    docs = spark.createDataFrame(ODD_ROWS, "id int, tokens array<string>")
+    table = spark.createDataFrame(
+        [("cat", [1.0, 2.0]), ("cat", [5.0, 6.0]), ("dog", None), ("dog", [3.0, 4.0]), (None, [0.0, 0.0])],
+        "word string, vec array<float>")
+    found = []
+    for bound in (pooling.MAX_MATRIX_BYTES, 0):
+        vectors = pooling.WordVectors(table, max_matrix_bytes=bound)
+        if how == "weighted":
+            model = features.TfidfModel.fit(docs, "tokens", 5, max_listed=bound)
+            pooled = pooling.pool_weighted(docs, "id", "tokens", vectors, model, keep=("tokens",))
+        else:
+            pooled = pooling.pool_words(docs, "id", "tokens", vectors, how, keep=("tokens",))
+        found.append(sorted(
+            (repr((r.id, r.tokens)), [round(x, 9) for x in r.features]) for r in pooled.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(ODD_ROWS)
+    assert dict(found[0])[repr((None, ["cat"]))] == [1.0, 2.0]
+
+
+def test_lookup_sides_agree_on_repeats_and_nulls(spark):
+    docs = spark.createDataFrame(ODD_ROWS, "id int, tokens array<string>")
+    table = spark.createDataFrame([("cat", "b"), ("cat", "a"), (None, "x")], "token string, tag string")
+    found = [
+        sorted(repr((r.id, r.tokens, r.out)) for r in
+               lookup.look_up_tokens(docs, "id", "tokens", table, "out", True, bound).collect())
+        for bound in (100, 0)
+    ]
+    assert found[0] == found[1] and repr((1, ["cat", "dog"], ["a", "dog"])) in found[0]
+
+
+def test_entries_agree_on_repeated_rows(spark):
+    docs = spark.createDataFrame(ODD_ROWS, "id int, tokens array<string>")
+    found = [
+        sorted(repr((r.id, r.idx, r.cnt, round(r.tfidf_l2, 9))) for r in
+               features.TfidfModel.fit(docs, "tokens", 5, bound).entries(docs, "id", "tokens").collect())
+        for bound in (5, 0)
+    ]
+    assert found[0] == found[1]
+
+
+def test_empty_vocabulary_and_one_beyond_the_list(spark):
+    none = spark.createDataFrame([(1, [])], "id int, tokens array<string>")
+    model = features.TfidfModel.fit(none, "tokens", 5)
+    assert model.vectors(none, "tokens", "v").first()["v"].numNonzeros() == 0
+    some = spark.createDataFrame([(1, ["a", "b"])], "id int, tokens array<string>")
+    model = features.TfidfModel.fit(some, "tokens", 5, max_listed=0)
+    assert model.vectors(some, "tokens", "v").first()["v"].numNonzeros() == 2

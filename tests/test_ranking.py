@@ -58,7 +58,7 @@ def test_first_rows_per_group(table, rows, k):
 
 
 def test_top_per_group(table, rows):
-    found = ranking.top_per_group(table, ["g"], [F.desc("v"), F.col("id")], 5, "id", 4).collect()
+    found = ranking.top_per_group(table, ["g"], [F.desc("v"), F.col("id")], 5).collect()
     for group in {r[1] for r in rows}:
         expected = sorted((-r[3], r[0]) for r in rows if r[1] == group)[:5]
         mine = sorted((r["rank"], -r["v"], r["id"]) for r in found if r["g"] == group)
