@@ -168,7 +168,7 @@ def _tree_links(radius: int):
         for batch in batches:
             a, b = [], []
             for members in batch["members"].to_pylist():
-                values = sorted(m % (1 << BITS) for m in members)
+                values = sorted({m % (1 << BITS) for m in members})
                 tree, sets = BKTree(), Sets(len(values))
                 for i, value in enumerate(values):
                     for _, j in tree.within(value, radius):
@@ -211,7 +211,8 @@ def fingerprint_links(prints: DataFrame, radius: int = 3, tree_size: int = TREE_
         finer = [(_signed(m), _signed(c)) for m in masks for c in _cut(m, radius + 1)]
         masks = {c % (1 << BITS) for _, c in finer}
         table = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
-        rows = rows.join(table, "mask").select("fp", F.col("finer").alias("mask"))
+        # Two masks may be cut to the same finer one.
+        rows = rows.join(table, "mask").select("fp", F.col("finer").alias("mask")).distinct()
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
