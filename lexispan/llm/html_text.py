@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -211,8 +212,11 @@ def extract(html: str | None) -> str:
         # The marked element with most content; outer ones win ties, being smaller in number.
         region = max(marked, key=lambda i: (weight[i], -i))
     else:
-        # Containers are numbered in the order they open: the last that holds nearly all is the innermost.
-        region = max((i for i, w in weight.items() if w >= 0.8 * chosen), default=None)
+        # Containers are numbered in the order they open: the last that holds nearly all is the
+        # innermost.  One that holds a single line is that line, not a region.
+        held = Counter(container for _, _, path in lines for container in path)
+        region = max(
+            (i for i, w in weight.items() if w >= 0.8 * chosen and held[i] > 1), default=None)
     return " ".join(text for text, _, path in lines if region is None or region in path)
 
 
