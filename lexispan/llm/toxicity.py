@@ -30,6 +30,9 @@ MIN_TEXTS = 5
 MIN_WEIGHT = 1.2
 PURE_WEIGHT = 5.0
 PREFIX_LENGTHS = range(4, 9)
+FEATURES = 4
+_NAMES = [f"f{i}" for i in range(FEATURES)]
+_FIELDS = ", ".join(f"{name} double" for name in [*_NAMES, "score"])
 # Characters that look like a Latin letter, and signs read as one.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "к": "k",
@@ -95,8 +98,9 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "automaton"}
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """Weighted matches per 1,000 words: of pure terms, whether there is one, of the rest."""
+    def features(self, text: str | None) -> tuple[float, ...]:
+        """Matches per 1,000 words: pure terms by weight, whether there is one, the rest by
+        weight and by number."""
         folded = fold(text or "")
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
@@ -112,8 +116,11 @@ class Model:
                 del best[inside]
         words = max(1, folded.count(" ") if not best else len(folded.split()))
         pure = sum(w for w in best.values() if w >= PURE_WEIGHT)
-        rest = sum(w for w in best.values() if w < PURE_WEIGHT)
-        return math.log1p(1000 * pure / words), float(pure > 0), math.log1p(1000 * rest / words)
+        rest = [w for w in best.values() if w < PURE_WEIGHT]
+        return (
+            math.log1p(1000 * pure / words), float(pure > 0),
+            math.log1p(1000 * sum(rest) / words), math.log1p(1000 * len(rest) / words),
+        )
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = self.coefficients[0] + features @ np.array(self.coefficients[1:])
@@ -194,7 +201,7 @@ def fit(
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     if not n_toxic or not n_clean:
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
-        return Model({}, exceptions, (math.log(share / (1 - share)), 0.0, 0.0, 0.0))
+        return Model({}, exceptions, (math.log(share / (1 - share)), *[0.0] * FEATURES))
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     candidates = (
         train.mapInArrow(_count_terms, "term string, toxic long, clean long").groupBy("term")
@@ -202,21 +209,23 @@ def fit(
         .filter(F.col("toxic") >= MIN_TEXTS).orderBy((odds * F.sqrt("toxic")).desc(), "term")
         .limit(CANDIDATE_TERMS).collect()
     )
-    lexicon = Model(_choose(candidates, n_toxic, n_clean), exceptions, (0.0, 0.0, 0.0, 0.0))
-    known = train.mapInArrow(
-        _scorer(lexicon, "label"), "label int, f1 double, f2 double, f3 double, score double"
-    ).select("label", "f1", "f2", "f3").toPandas()
+    lexicon = Model(_choose(candidates, n_toxic, n_clean), exceptions, (0.0,) * (FEATURES + 1))
+    known = train.mapInArrow(_scorer(lexicon, "label"), f"label int, {_FIELDS}").toPandas()
     forget(train)
-    curve = _logistic(known[["f1", "f2", "f3"]].to_numpy(), known["label"].to_numpy(float))
+    curve = _logistic(known[_NAMES].to_numpy(), known["label"].to_numpy(float))
     return Model(lexicon.lexicon, exceptions, curve)
 
 
+def _features(model: Model, texts: pa.Array) -> np.ndarray:
+    return np.array([model.features(t) for t in texts.to_pylist()], float).reshape(-1, FEATURES)
+
+
 def _scorer(model: Model, *kept: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = np.array([model.features(t) for t in batch["text"].to_pylist()], float).reshape(-1, 3)
+            features = _features(model, batch["text"])
             columns = {name: batch[name] for name in kept}
-            columns |= {f"f{i + 1}": features[:, i] for i in range(3)}
+            columns |= {name: features[:, i] for i, name in enumerate(_NAMES)}
             yield pa.record_batch(columns | {"score": model.score(features)})
 
     return run
@@ -229,8 +238,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     """
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    scored = texts.mapInArrow(
-        _scorer(model, "_id"), f"_id {kind}, f1 double, f2 double, f3 double, score double")
+    scored = texts.mapInArrow(_scorer(model, "_id"), f"_id {kind}, {_FIELDS}")
     return scored.select(
         F.col("_id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -241,8 +249,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            features = np.array([model.features(t) for t in texts], float).reshape(-1, 3)
-            yield batch.filter(pa.array(model.score(features) < 0.5))
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            yield batch.filter(pa.array(model.score(_features(model, texts)) < 0.5))
 
     return docs.mapInArrow(run, schema)

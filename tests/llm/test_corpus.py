@@ -58,7 +58,7 @@ def test_learnt_lexicon(spark, prose):
 
 def test_exception_phrases_spare_their_words():
     lexicon = {" trash ": 7.0}
-    model = Model(lexicon, ("trash can",), (0.0, 1.0, 1.0, 1.0))
+    model = Model(lexicon, ("trash can",), (0.0, 1.0, 1.0, 1.0, 1.0))
     assert model.features("a trash can")[1] == 0 and model.features("a trash can trash")[1] == 1
     assert model.features("trashy")[1] == 0
 
