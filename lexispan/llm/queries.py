@@ -59,7 +59,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every use of a document when no source is repeated more than twice."""
-    return mix_sources(_table(spark, sf_dir, "documents"))
+    return mix_sources(_table(spark, sf_dir, "documents")).withColumns({
+        "epoch": F.col("epoch").cast("long"), "weight": F.round("weight", 9)})
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,38 @@ FROM s GROUP BY conv_id
 """
 
 
+# The exponent in closed form; the library finds it by bisection on the same grid.
+_OP3 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS source,
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                           lambda x: x <> '')) AS n FROM documents
+), s AS (SELECT source, CAST(sum(n) AS DOUBLE) AS t FROM d GROUP BY source),
+a AS (SELECT sum(t) AS total, min(t) FILTER (t > 0) AS lo, max(t) AS hi FROM s),
+e AS (
+    SELECT total, CASE WHEN hi > lo THEN greatest(0, least(1048576, ceil(
+        (1 - ln(2) / ln(hi / lo)) * 1048576))) ELSE 0 END / CAST(1048576 AS DOUBLE) AS exponent FROM a
+), w AS (SELECT source, t, exponent, CASE WHEN t > 0 THEN pow(t / total, exponent) END AS raised FROM s, e),
+z AS (SELECT sum(raised) AS z, max(t / raised) AS least FROM w),
+g AS (
+    SELECT source, t, exponent, coalesce(raised / z, 0) AS weight,
+           coalesce(raised / z, 0) * (least * z) AS target FROM w, z
+), m AS (SELECT greatest(1, CAST(ceil(sum(target) / 1048576) AS BIGINT)) AS blocks FROM g),
+u AS (
+    SELECT doc_id, source, n, weight, t, target, exponent, unnest(range(1, 1 + CAST(
+        CASE WHEN t > 0 THEN greatest(1, ceil(target / t - 1e-9)) ELSE 1 END AS BIGINT))) AS epoch
+    FROM d JOIN g USING (source)
+), p AS (
+    SELECT *, (epoch - 1) * t + coalesce(sum(n) OVER (
+        PARTITION BY source, epoch ORDER BY md5('7:' || epoch || ':' || doc_id), doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM u
+)
+SELECT doc_id, source, n AS n_tokens, epoch,
+       CAST(least(floor(coalesce(begins / nullif(target, 0), 0) * blocks), blocks - 1) AS BIGINT) AS block,
+       round(weight, 9) AS weight, exponent
+FROM p, m WHERE epoch <= coalesce(target / nullif(t, 0), 1) + 1e-9 OR t = 0 OR begins < target
+"""
+
 _OP4 = r"""
 WITH w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
@@ -144,6 +176,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 ORACLES = {
     "op1_chat_format": _op1(),
+    "op3_source_mix": _OP3,
     "op4_substring_dedup": _OP4,
     "op5_warc": _OP5,
     "op6_url_filter": _OP6,
