@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -134,6 +136,42 @@ def look_up_tokens(
     ).drop("_same", "_key", "_hash", f"_{output}")
 
 
+def drop_tokens(
+    df: DataFrame,
+    row_key: str,
+    tokens: str,
+    words: DataFrame,
+    output: str,
+    max_dictionary_rows: int = MAX_DICTIONARY_ROWS,
+) -> DataFrame:
+    """Add ``output``: the tokens that are not in ``words(word)``, a table of stop words."""
+    table = words.select("word", F.col("word").alias("_stop"))
+    found = look_up_tokens(
+        df, row_key, tokens, table, "_found", max_dictionary_rows=max_dictionary_rows
+    )
+    kept = F.zip_with(tokens, "_found", lambda t, stop: F.when(stop.isNull(), t))
+    return found.withColumn(output, F.filter(kept, lambda t: t.isNotNull())).drop("_found")
+
+
+def tokens_by(
+    df: DataFrame, text: str, make_tokenise: Callable[[], Callable[[str], Sequence[str]]],
+    output: str,
+) -> DataFrame:
+    """Add ``output``: the tokens that the caller's own function finds in each text.
+
+    ``make_tokenise`` runs once per batch of a Python worker and returns the function;
+    texts and tokens travel as Arrow batches.  Null text gives null.
+    """
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def tokenise(texts: pa.Array) -> pa.Array:
+        split = make_tokenise()
+        lists = [None if t is None else list(split(t)) for t in texts.to_pylist()]
+        return pa.array(lists, pa.list_(pa.string()))
+
+    return df.withColumn(output, tokenise(F.col(text)))
+
+
 def lemmatize(
     df: DataFrame,
     row_key: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, parse_list, words
 from lexispan.operators import features, models, pooling, sampling
-from lexispan.operators.lookup import tagged_ngrams
+from lexispan.operators.lookup import changed_lemmas, drop_tokens, tagged_ngrams, tokens_by
 from lexispan.operators.metrics import binary_report, to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
 from lexispan.operators.unnest import unnest
@@ -71,6 +73,42 @@ def stored_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", F.array_join(parse_list(F.col("list")), " ").alias("words"))
 
 
+def stop_words_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words without those of a stop-word table."""
+    stops = spark.createDataFrame([(w,) for w in ENGLISH_STOP_WORDS], "word string")
+    docs = inputs.news(spark, sf_dir).select("doc_id", words(F.col("text")).alias("tokens"))
+    kept = drop_tokens(docs, "doc_id", "tokens", stops, "kept")
+    return kept.select("doc_id", F.array_join("kept", " ").alias("words"))
+
+
+def stop_words_by_table_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the join that a large table takes."""
+    stops = spark.createDataFrame([(w,) for w in ENGLISH_STOP_WORDS], "word string")
+    docs = inputs.news(spark, sf_dir).select("doc_id", words(F.col("text")).alias("tokens"))
+    kept = drop_tokens(docs, "doc_id", "tokens", stops, "kept", 0)
+    return kept.select("doc_id", F.array_join("kept", " ").alias("words"))
+
+
+def own_tokeniser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a function given by the caller: what lies between bars and blanks."""
+    docs = inputs.news(spark, sf_dir).select("doc_id", "text")
+    return tokens_by(docs, "text", lambda: re.compile(r"[^ |\n]+").findall, "tokens").select(
+        "doc_id", F.size("tokens").alias("n"), F.array_join("tokens", "|").alias("tokens")
+    )
+
+
+def lemma_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas when a sixteenth of the words have an irregular form, the word less its last letter."""
+    lexicon = unnest(inputs.news_words(spark, sf_dir), [], "tokens", "word").distinct()
+    irregular = lexicon.filter((F.substring(F.md5("word"), 1, 1) == "0") & (F.length("word") > 1)).select(
+        "word", F.substring("word", F.lit(1), F.length("word") - 1).alias("lemma")
+    )
+    tokens = lexicon.select(F.col("word").alias("token"))
+    return tokens.join(changed_lemmas(tokens, lexicon, irregular), "token", "left").select(
+        "token", F.coalesce("lemma", "token").alias("lemma")
+    )
+
+
 def lemma_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = unnest(inputs.news_words(spark, sf_dir), [], "tokens", "word").distinct()
     tokens = lexicon.select(F.col("word").alias("token"))
@@ -342,6 +380,7 @@ QUERIES = {f.__name__: f for f in [
     top_words_per_corpus, top_words_all, clean_text, lemma_map, bigram_vocab, trigram_vocab,
     ngram_range_vocab, pos_bigram_vocab, bag_of_bigrams, term_frequency, idf, tfidf_l2,
     tfidf_fit_transform, pool_mean, pool_max, pool_tfidf, svm_predict_fixed_weights,
+    stop_words_by_table, stop_words_by_table_joined, own_tokeniser, lemma_exceptions,
     svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
     pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
     logreg_closed_form,
@@ -447,6 +486,22 @@ FROM entries e JOIN split s ON e.doc_id = s.doc_id""",
     "pool_mean": _pool_sql("mean"),
     "pool_max": _pool_sql("max"),
     "pool_tfidf": _pool_sql("weighted"),
+    "stop_words_by_table": f"""WITH {sql.NEWS}
+SELECT doc_id, array_to_string(tokens, ' ') AS words FROM words""",
+    "own_tokeniser": r"""
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n, array_to_string(t, '|') AS tokens
+FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ |\n]'), lambda x: x <> '') AS t
+      FROM documents WHERE text IS NOT NULL)""",
+    "lemma_exceptions": f"""WITH {sql.NEWS}, {sql.LEMMAS},
+irregular AS (
+  SELECT word, left(word, length(word) - 1) AS lemma FROM lexicon
+  WHERE left(md5(word), 1) = '0' AND length(word) > 1),
+chosen AS (
+  SELECT word, min({{'n': length(lemma), 'lemma': lemma}}).lemma AS lemma
+  FROM (SELECT * FROM irregular UNION ALL SELECT word, word FROM irregular)
+  WHERE lemma IN (SELECT word FROM lexicon) GROUP BY word)
+SELECT l.word AS token, coalesce(c.lemma, l.lemma) AS lemma
+FROM lemmas l LEFT JOIN chosen c ON l.word = c.word""",
     "stored_list": f"""WITH {sql.NEWS}
 SELECT doc_id, array_to_string(tokens, ' ') AS words FROM words""",
     "svm_known_optimum": """
@@ -467,6 +522,7 @@ FROM scored""",
 }
 ORACLES |= {
     "clean_text_joined": ORACLES["clean_text"],
+    "stop_words_by_table_joined": ORACLES["stop_words_by_table"],
     "tfidf_joined": ORACLES["tfidf_l2"],
     "pool_mean_joined": ORACLES["pool_mean"],
     "pool_tfidf_joined": ORACLES["pool_tfidf"],
