@@ -41,6 +41,10 @@ NOISE = re.compile(
     r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|toolbar|"
     r"widget|pagination|pager|skip-?link|copyright)(?=$|[\s_\d-])"
 )
+# Names of state, such as "comments-open" or "no-sidebar", say nothing about the element itself.
+STATE = re.compile(
+    r"(?:^|[_-])(?:no|has|with|without|open|closed|enabled|disabled|on|off)(?=$|[_-])")
+HEADER = re.compile(r"(?:^|\s)(?:header|top-?bar|site-?title)(?=$|\s)")
 SIGMA = 1.0
 
 
@@ -96,10 +100,12 @@ class _Page(HTMLParser):
             return False
         if "hidden" in named or named.get("aria-hidden") == "true" or named.get("role") in ROLES:
             return True
-        if tag == "header" and not any(self.kinds[i] == "main" for i in self.path):
-            return True
         label = f"{named.get('class') or ''} {named.get('id') or ''}".strip().lower()
-        return bool(label) and bool(NOISE.search(label))
+        if (tag == "header" or HEADER.search(label)) and not any(
+            self.kinds[i] == "main" for i in self.path
+        ):
+            return True
+        return any(NOISE.search(name) and not STATE.search(name) for name in label.split())
 
     def _close_implied(self, tag: str) -> None:
         """An open element of the same kind ends where the next begins."""

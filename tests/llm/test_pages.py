@@ -112,6 +112,10 @@ def test_short_blocks_references_and_broken_markup():
     assert extract("<article><p><b>Bold is never closed.<p>Next.</p></article><footer>x</footer>") == (
         "Bold is never closed. Next.")
     assert extract("plain text") == "plain text"
+    assert extract('<div class="header">Site</div><div class="post comments-open no-sidebar"><p>One of these.'
+                   '<p>Two of these.</div>') == "One of these. Two of these."
+    assert extract('<article><header><h1>Title</h1></header><p>Text of it.</p><div class="share-bar">Share</div>'
+                   "</article>") == "Title Text of it."
     assert [extract(x) for x in (None, "", "<p></p>", "<", "</div></p>")] == [""] * 3 + ["<", ""]
     assert extract("<div>one line</div><!-- <p>b</p> --><div>a &lt;tag&gt;</div>") == "one line a <tag>"
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
