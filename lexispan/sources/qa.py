@@ -16,6 +16,8 @@ PARAGRAPHS = (
 ARTICLE_SCHEMA = f"title string, paragraphs {PARAGRAPHS}"
 NESTED_SCHEMA = f"version string, data array<struct<title:string,paragraphs:{PARAGRAPHS}>>"
 
+MAX_RECORD_BYTES = 256 * 1024 * 1024
+
 
 def read_examples(spark: SparkSession, path: str, format: str = "json") -> DataFrame:
     """Flat examples, one JSON object per line or a Parquet table."""
@@ -56,16 +58,18 @@ def flatten_articles(articles: DataFrame) -> DataFrame:
     )
 
 
-def nest_examples(examples: DataFrame, max_paragraphs: int = 10_000) -> DataFrame:
+def nest_examples(examples: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """``(title, part, paragraphs)``: examples grouped by title, in id order.
 
-    One paragraph per example; a missing title becomes ``default``.  A title with
-    more than ``max_paragraphs`` examples is written as several records of about
-    that many, all with its title, so that no row grows without bound; readers of
-    the format join them by reading both.
+    One paragraph per example; a missing title becomes ``default``.  A title is one
+    record, ``part`` 0, unless its contexts and questions have more than ``max_bytes``
+    bytes; then it is cut into parts of about that size, all with its title, so that
+    no row grows without bound.  ``title`` and ``part`` together name a record.
     """
     titled = examples.withColumn("title", F.coalesce("title", F.lit("default")))
-    parts = F.ceil(F.count(F.lit(1)) / max_paragraphs).alias("_parts")
+    size = F.sum(F.coalesce(F.octet_length("context"), F.lit(0))
+                 + F.coalesce(F.octet_length("question"), F.lit(0)))
+    parts = F.greatest(F.ceil(size / max_bytes), F.lit(1)).alias("_parts")
     crowded = titled.groupBy("title").agg(parts).filter("_parts > 1")
     answers = F.transform(
         F.arrays_zip("answers.text", "answers.answer_start"),
@@ -91,9 +95,9 @@ def nest_examples(examples: DataFrame, max_paragraphs: int = 10_000) -> DataFram
     )
 
 
-def write_nested(examples: DataFrame, path: str, max_paragraphs: int = 10_000) -> None:
+def write_nested(examples: DataFrame, path: str, max_bytes: int = MAX_RECORD_BYTES) -> None:
     """Write examples as articles, one JSON object ``{title, paragraphs}`` per line."""
-    nest_examples(examples, max_paragraphs).drop("part").write.mode("overwrite").json(path)
+    nest_examples(examples, max_bytes).drop("part").write.mode("overwrite").json(path)
 
 
 def read_json_map(spark: SparkSession, path: str, key: str, value: str, type: str) -> DataFrame:

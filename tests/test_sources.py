@@ -67,7 +67,7 @@ def test_whole_document(spark, tmp_path, examples):
 def test_crowded_title_is_split_and_kept_whole(spark):
     rows = [(str(i), "hot" if i % 3 else f"t{i}", "q", "c", (["c"], [0])) for i in range(300)]
     many = spark.createDataFrame(rows, qa.EXAMPLE_SCHEMA)
-    nested = qa.nest_examples(many, max_paragraphs=20)
+    nested = qa.nest_examples(many, max_bytes=40)
     hot = [len(r["paragraphs"]) for r in nested.filter("title = 'hot'").collect()]
     assert sum(hot) == 200 and len(hot) > 5 and max(hot) < 60
     flat = qa.flatten_articles(nested)
