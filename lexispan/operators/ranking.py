@@ -16,31 +16,34 @@ from pyspark.sql.types import ArrayType, DataType
 
 from lexispan.operators.bounded import broadcast_if_small, null_safe_join
 
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 16_384
+ROWS_PER_BUCKET = 1_000_000
 SAMPLED_ROWS_PER_BUCKET = 50
 
 
-def bucket_count(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, at most 1024."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(wanted, MAX_BUCKETS))
+def bucket_count(df: DataFrame, rows: int) -> int:
+    """Buckets of about a million rows, as many as there are shuffle partitions at least."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(max(partitions, rows // ROWS_PER_BUCKET), MAX_BUCKETS))
 
 
-def range_bounds(df: DataFrame, order: Sequence[str], buckets: int) -> list[tuple]:
+def range_bounds(df: DataFrame, order: Sequence[str]) -> list[tuple]:
     """Boundaries that cut the rows into about equal ranges of ``order``.
 
     They only balance the work, never the result, so picked rows are enough: a
-    hash chooses them and a bounded number of them reaches the driver.
+    hash chooses about ``SAMPLED_ROWS_PER_BUCKET`` distinct keys per bucket, and
+    these reach the driver.
     """
+    keys = df.select(*order)
+    total = keys.count()
+    buckets = bucket_count(df, total)
     if buckets < 2:
         return []
-    keys = df.select(*order)
     wanted = buckets * SAMPLED_ROWS_PER_BUCKET
-    total = keys.count()
     if total > wanted:
         step = total // wanted
         keys = keys.filter(F.pmod(F.xxhash64(*order), F.lit(step)) == 0)
-    picked = keys.limit(4 * wanted).orderBy(*order).collect()
+    picked = keys.distinct().orderBy(*order).collect()
     cuts = [picked[i * len(picked) // buckets] for i in range(1, buckets)] if picked else []
     return list(dict.fromkeys(tuple(row) for row in cuts))
 
@@ -68,7 +71,7 @@ def range_bucket(
 def order_bucket(df: DataFrame, order: Sequence[str]) -> Column:
     """A bucket column for ``order``, with boundaries taken from ``df``."""
     types = [df.schema[name].dataType for name in order]
-    return range_bucket(order, types, range_bounds(df, order, bucket_count(df)))
+    return range_bucket(order, types, range_bounds(df, order))
 
 
 def running_totals(

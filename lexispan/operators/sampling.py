@@ -18,7 +18,7 @@ from lexispan.operators.ranking import (
 )
 
 DRAW = "_draw"
-PREFIX_DIGITS = 3
+PREFIX_DIGITS = 4
 
 
 def draw_key(seed: int | str, id_column: str) -> Column:
@@ -26,7 +26,7 @@ def draw_key(seed: int | str, id_column: str) -> Column:
 
 
 def draw_bucket() -> Column:
-    """4096 equal ranges of the draw: its first hex digits as a number."""
+    """65,536 equal ranges of the draw: its first hex digits as a number."""
     return F.conv(F.substring(DRAW, 1, PREFIX_DIGITS), 16, 10).cast("int")
 
 

@@ -54,13 +54,21 @@ def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = inputs.sentiment(spark, sf_dir).select("doc_id", "label", "Text")
-    return sampling.balance_classes(labelled, "doc_id", "label", inputs.SEED)
+    """``(doc_id, label)`` of the balanced reviews.
+
+    Counts, bounds and splits read this narrow table; texts are joined afterwards.
+    """
+    labelled = keep(inputs.sentiment(spark, sf_dir).select("doc_id", "label"))
+    return keep(sampling.balance_classes(labelled, "doc_id", "label", inputs.SEED))
+
+
+def _with_text(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    return rows.join(inputs.documents(spark, sf_dir, "doc_id", "text"), "doc_id")
 
 
 def balance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _balanced(spark, sf_dir).select(
-        "doc_id", "label", F.col("Text").alias("text")
+    return _with_text(spark, sf_dir, _balanced(spark, sf_dir)).select(
+        "doc_id", "label", "text"
     )
 
 
@@ -77,7 +85,7 @@ def split_70_30_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    balanced = _balanced(spark, sf_dir).select("doc_id", "label", "Text")
+    balanced = _balanced(spark, sf_dir)
     rows = sampling.train_rows_80_20(balanced.count())
     return sampling.split_exact(balanced, "doc_id", rows, inputs.SEED)
 
@@ -137,9 +145,9 @@ def metrics_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six feature sets on the balanced reviews, split 80 : 20, in one report."""
-    split = _split_80_20(spark, sf_dir)
+    split = _with_text(spark, sf_dir, _split_80_20(spark, sf_dir))
     tokens = split.select(
-        "doc_id", "label", "split", content_words(F.col("Text")).alias("tokens")
+        "doc_id", "label", "split", content_words(F.col("text")).alias("tokens")
     )
     cleaned = keep(inputs.with_lemmas(tokens))
     train = cleaned.filter("split = 'train'").drop("split")
