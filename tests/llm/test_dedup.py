@@ -192,3 +192,51 @@ def test_near_copies(spark, tree_size):
     assert kept.columns == table(spark, []).columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, r in want.items() if i != r}
     assert near_copies(table(spark, [])).collect() == []
+
+
+def linked_groups(texts):
+    """The least id of each group, by brute force over the shingle sets."""
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, t in texts for w in [t.split()]}
+    least, todo = {}, sorted(sets)
+    for start in todo:
+        if start not in least:
+            least[start], queue = start, [start]
+            while queue:
+                x = sets[queue.pop()]
+                for j in todo:
+                    if j not in least and len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                        least[j] = start
+                        queue.append(j)
+    counts = {}
+    for root in least.values():
+        counts[root] = counts.get(root, 0) + 1
+    return {i: root for i, root in least.items() if counts[root] > 1}
+
+
+def replaced(rng, words, places):
+    words = list(words)
+    for k in places:
+        words[k] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def star_rows(rng, edits=200, first=0):
+    """Texts at 0.8-0.85 to their base, most of them below 0.8 to one another; the base has the last id."""
+    base = [f"s{first}w{i}" for i in range(404)]
+    rows = [(first + i, " ".join(replaced(rng, base, rng.sample(range(10, 390, 5), rng.randrange(7, 9)))))
+            for i in range(edits)]
+    return [*rows, (first + edits, " ".join(base))]
+
+
+def test_near_copies_of_a_star_and_among_boilerplate(spark):
+    rng = random.Random(3)
+    rows = star_rows(rng)
+    shared = [f"b{i}" for i in range(300)]
+    for i in range(120):  # 70 % boilerplate each, some with a partner at about 0.85
+        words = shared + [f"own{i}x{k}" for k in range(100)]
+        rows.append((1000 + i, " ".join(words)))
+        if i % 6 == 0:
+            rows.append((2000 + i, " ".join(replaced(rng, words, rng.sample(range(305, 395, 6), 7)))))
+    got = {r.doc_id: r.keep_id for r in near_copies(table(spark, rows)).collect()}
+    assert got == linked_groups(rows)
+    assert all(got[i] == 0 for i in range(201)) and all(got[2000 + i] == 1000 + i for i in range(0, 120, 6))
