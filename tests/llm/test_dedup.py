@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispan.llm.components import components
 from lexispan.llm.exact_dedup import drop_copies, exact_groups
-from lexispan.llm.near_copies import drop_near_copies, near_copies
+from lexispan.llm.near_copies import drop_near_copies, near_copies, near_links
 from lexispan.llm.simhash import BKTree, fingerprint_links, near_duplicates
 from lexispan.llm.substring_dedup import lengths, remove_repeats
 
@@ -240,3 +240,19 @@ def test_near_copies_of_a_star_and_among_boilerplate(spark):
     got = {r.doc_id: r.keep_id for r in near_copies(table(spark, rows)).collect()}
     assert got == linked_groups(rows)
     assert all(got[i] == 0 for i in range(201)) and all(got[2000 + i] == 1000 + i for i in range(0, 120, 6))
+
+
+def test_near_copies_in_shards_that_are_too_large(spark):
+    """Every text has the same keys, so that pairs of it meet in no other shard."""
+    rng = random.Random(4)
+    rows = star_rows(rng, edits=90)
+    for i in range(60):  # pairs below 0.8 to the rest
+        words = [f"p{i}w{k}" for k in range(200)]
+        rows += [(1000 + i, " ".join(words)), (2000 + i, " ".join(replaced(rng, words, [50, 90])))]
+    docs = table(spark, rows)
+    named = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    sketches = spark.createDataFrame(
+        [(i, len(t.split()) - 4, i, [7]) for i, t in rows], "id long, n int, content long, keys array<long>")
+    for tree_size in (20, 64, 150):
+        links = near_links(named, sketches, 5, 0.8, tree_size)
+        assert {r.node: r.component for r in components(links).collect()} == linked_groups(rows)
