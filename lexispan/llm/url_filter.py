@@ -53,11 +53,11 @@ def path_of(url: Column) -> Column:
 
 def registered_domain(host: Column, suffix_labels: int = 1) -> Column:
     """The suffix of the host, which has ``suffix_labels`` labels, and one label before it."""
-    return F.substring_index(host, ".", suffix_labels + 1)
+    return F.substring_index(host, ".", -(suffix_labels + 1))
 
 
 def suffix(host: Column, suffix_labels: int = 1) -> Column:
-    return F.substring_index(host, ".", suffix_labels)
+    return F.substring_index(host, ".", -suffix_labels)
 
 
 def best_rule(rules: Sequence[Rule], host: Column, path: Column) -> Column:

@@ -2,11 +2,13 @@
 
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from lexispan.llm.html_text import extract, extract_pages
 from lexispan.llm.shared import new_path
+from lexispan.llm.sql import ORACLES
 from lexispan.llm.url_filter import Rule, judge_urls, reputations
 from lexispan.llm.warc import archive_round_trip, read_archives, write_archives
 
@@ -128,3 +130,32 @@ def test_pages_table(spark):
     assert got == sorted([(1, None, "a", 1), (None, "u", "", 0), (1, None, "a", 1),
                           (2, "v", ("word " * 50_000).strip(), 249_999)], key=repr)
     assert extract_pages(pages(spark, [])).collect() == []
+
+
+def skewed_outcomes():
+    """Hosts with subdomains; two hosts and their domain are bad, others of that suffix are not."""
+    bad = {("blog.tionsh.example.com", 80): 76, ("m.tionsh.example.com", 40): 37, ("blog.good.org", 90): 3,
+           ("m.good.org", 70): 2, ("www.other.com", 60): 6, ("blog.other.com", 50): 4, ("m.third.net", 3): 2,
+           ("a.b.c.third.net", 30): 15, ("com", 4): 1}
+    return [(host, int(k < n_bad)) for (host, n), n_bad in bad.items() for k in range(n)]
+
+
+def test_reputations_shrink_towards_registered_domain_and_suffix(spark):
+    rows = skewed_outcomes()
+    frame = spark.createDataFrame(rows, "host string, bad int")
+    got = {r.host: (r.a, r.b) for r in reputations(frame).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality BIGINT)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", [(i, f"http://{h}/") for i, (h, _) in enumerate(rows)])
+    con.executemany("INSERT INTO labels VALUES (?, ?)", [(i, 1 - b) for i, (_, b) in enumerate(rows)])
+    head = ORACLES["op6_url_filter"].split("SELECT u.page_id, u.host", 1)[0]
+    want = {h: (a, b) for h, a, b in con.sql(head + "SELECT host, a, b FROM hm").fetchall()}
+    assert got.keys() == want.keys()
+    for host, pair in want.items():
+        assert got[host] == pytest.approx(pair, rel=1e-6), host
+    urls = con.sql("SELECT host, any_value(verdict) FROM (" + ORACLES["op6_url_filter"] + ") GROUP BY host").fetchall()
+    outcomes = frame.selectExpr("concat('http://', host, '/') AS url", "bad")
+    found = judge_urls(outcomes, outcomes, RULES).select("host", "verdict").distinct().collect()
+    assert {(r.host, r.verdict) for r in found} == set(urls)
+    assert {h for h, v in urls if v == "block"} >= {"blog.tionsh.example.com", "m.tionsh.example.com"}
