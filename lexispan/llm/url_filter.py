@@ -4,7 +4,8 @@ Labelled page outcomes are counted per host.  A beta-binomial prior is carried d
 from all pages to the suffix, from there to the registered domain and on to the host:
 each level is shrunk towards the mean of the level above with a strength that the
 spread of that level's own rates decides.  A host is blocked when the lower bound of
-its posterior rate of bad pages is above the limit.
+its posterior rate of bad pages is above the limit; a host without labelled pages is
+judged by what the nearest level above it that has some says of a new host.
 """
 
 from __future__ import annotations
@@ -92,8 +93,40 @@ def _strength(groups: DataFrame, n: Column, bad: Column, mean: Column) -> float:
     return round(1 / between - 1, 6)
 
 
-def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> DataFrame:
-    """``(host, a, b)``: the posterior beta distribution of the rate of bad pages of each host.
+@dataclass(frozen=True)
+class Levels:
+    """What is known of labelled hosts, domains and suffixes, and the prior strength of each level."""
+
+    hosts: DataFrame  # host, a, b
+    domains: DataFrame  # domain, mean_domain
+    suffixes: DataFrame  # suffix, mean_suffix
+    overall: Column
+    strengths: dict[str, float]
+
+    def strength_below(self, *levels: str) -> Column:
+        """Prior strength of a host when there is no outcome of these levels: their spreads together."""
+        same = 1.0
+        for level in levels:
+            k = self.strengths[level]
+            same *= k / (k + 1)
+        return F.lit(same / (1 - same))
+
+    def posteriors(self, hosts: DataFrame) -> DataFrame:
+        """``(host, a, b)`` for each row of ``hosts``; of those without outcomes by the nearest level that has some."""
+        keyed = hosts.withColumns({"domain": registered_domain(F.col("host")), "suffix": suffix(F.col("host"))})
+        found = keyed.join(self.hosts, "host", "left").join(self.domains, "domain", "left").join(
+            self.suffixes, "suffix", "left")
+        mean = F.coalesce("mean_domain", "mean_suffix", self.overall)
+        strength = F.when(F.col("mean_domain").isNotNull(), self.strength_below("host")).when(
+            F.col("mean_suffix").isNotNull(), self.strength_below("host", "domain")
+        ).otherwise(self.strength_below("host", "domain", "suffix"))
+        return found.select(
+            "host", F.coalesce("a", strength * mean).alias("a"),
+            F.coalesce("b", strength * (1 - mean)).alias("b"))
+
+
+def levels(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> Levels:
+    """The posteriors of all levels.
 
     ``outcomes`` has one row per labelled page, ``bad`` 0 or 1; rows with a null in
     either column are left out.  The three prior strengths are numbers on the driver,
@@ -111,10 +144,12 @@ def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> Da
         F.sum("n_domain").alias("n_suffix"), F.sum("bad_domain").alias("bad_suffix"))
     total = suffixes.agg(F.sum("n_suffix").alias("n"), F.sum("bad_suffix").alias("bad")).first()
     overall = F.lit((total["bad"] + 1) / (total["n"] + 2) if total["n"] else 0.5)
+    strengths = {}
 
     def shrunk(level: DataFrame, name: str, prior: Column) -> DataFrame:
         n, bad_pages = F.col(f"n_{name}"), F.col(f"bad_{name}")
         strength = _strength(level.withColumn("_prior", prior), n, bad_pages, F.col("_prior"))
+        strengths[name] = strength
         return level.withColumn(f"mean_{name}", (bad_pages + strength * prior) / (n + strength))
 
     suffixes = shrunk(suffixes, "suffix", overall)
@@ -123,10 +158,18 @@ def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> Da
         domains.select("domain", "mean_domain"), "domain")
     prior = F.col("mean_domain")
     strength = _strength(named.withColumn("_prior", prior), F.col("n_host"), F.col("bad_host"), F.col("_prior"))
-    return named.select(
+    strengths["host"] = strength
+    known = named.select(
         "host", (F.col("bad_host") + strength * prior).alias("a"),
         (F.col("n_host") - F.col("bad_host") + strength * (1 - prior)).alias("b"),
     )
+    return Levels(known, domains.select("domain", "mean_domain"), suffixes.select("suffix", "mean_suffix"),
+                  overall, strengths)
+
+
+def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad") -> DataFrame:
+    """``(host, a, b)``: the posterior beta distribution of the rate of bad pages of each labelled host."""
+    return levels(outcomes, host, bad).hosts
 
 
 def lower_bound(a: Column, b: Column, deviations: float) -> Column:
@@ -141,12 +184,14 @@ def judge_urls(
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``bound`` and ``verdict``.
 
-    ``outcomes`` is ``(url, bad)``.  A page whose host has no outcome is allowed, as is
-    one with a null or malformed url, whose host and path are empty.  Columns of these
-    five names in ``pages`` are replaced.
+    ``outcomes`` is ``(url, bad)``.  A host without outcomes has the prior that its domain
+    gives, or else its suffix or all pages.  A page with a null or malformed url, whose
+    host and path are empty, is allowed.  Columns of these five names in ``pages`` are
+    replaced.
     """
-    known = reputations(outcomes.select(host_of(F.col("url")).alias("host"), "bad").filter("host <> ''"))
-    bounds = known.select(
+    known = levels(outcomes.select(host_of(F.col("url")).alias("host"), "bad").filter("host <> ''"))
+    hosts = pages.select(host_of(F.col(url)).alias("host")).filter("host <> ''").distinct()
+    bounds = known.posteriors(hosts).select(
         F.col("host").alias("_host"), lower_bound(F.col("a"), F.col("b"), deviations).alias("_bound"))
     names = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "bound", "verdict")]
     judged = pages.select(

@@ -159,3 +159,16 @@ def test_reputations_shrink_towards_registered_domain_and_suffix(spark):
     found = judge_urls(outcomes, outcomes, RULES).select("host", "verdict").distinct().collect()
     assert {(r.host, r.verdict) for r in found} == set(urls)
     assert {h for h, v in urls if v == "block"} >= {"blog.tionsh.example.com", "m.tionsh.example.com"}
+
+
+def test_hosts_without_outcomes_are_judged_by_domain_and_suffix(spark):
+    rows = [(f"http://h{i}.bad.com/", 1) for i in range(20) for _ in range(100)]
+    rows += [(f"http://h{i}.good.com/", 0) for i in range(20) for _ in range(200)]
+    rows += [(f"http://h{i}.d{k}.junk/", 1) for i in range(5) for k in range(20) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "url string, bad int")
+    urls = {"http://new.bad.com/": "block", "http://bad.com/x": "block", "http://new.good.com/": "allow",
+            "http://new.com/": "allow", "http://new.junk/": "block", "http://a.b.new.junk/": "block",
+            "http://new.xyz/": "allow", "http://h1.bad.com/": "block", "no url": "allow"}
+    got = judge_urls(pages(spark, [(i, u, "") for i, u in enumerate(urls)]), frame).collect()
+    assert {r.url: r.verdict for r in got} == urls
+    assert all((r.bound is None) == (r.host == "") for r in got)
