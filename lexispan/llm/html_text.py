@@ -3,8 +3,9 @@
 The standard library's streaming parser yields the blocks of a page, one line each, with
 their text, their tags and the containers they stand in.  The ratio of text to tags of
 each line is smoothed with a Gaussian; a threshold found by clustering the smoothed
-ratios in two tells content from the rest.  The content region is the container that
-holds the chosen lines, so a short paragraph between long ones is kept.  Lines of
+ratios in two tells content from the rest.  The content region is the innermost
+container that holds all chosen lines, or all main parts if the page marks some, so a
+short paragraph between long ones is kept.  Lists and tables are no regions.  Lines of
 elements that are never content (menus, forms, notices ..) are left out beforehand.
 """
 
@@ -33,6 +34,9 @@ BLOCKS = frozenset((
 ).split())
 INLINE_END = frozenset("br wbr".split())
 CONTAINERS = frozenset("html body article main section div td table header blockquote center ul ol dl".split())
+#: Containers that are part of what stands around them, never a content region by themselves.
+INNER = frozenset("td table ul ol dl".split())
+MARKED = ("main", "article")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|"
@@ -55,6 +59,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.kinds: list[str] = []  # of containers by number
+        self.marked: dict[int, tuple[int, ...]] = {}  # outermost main elements or articles and their paths
         self.stack: list[tuple[str, bool, bool]] = []  # tag, silent, a container was opened
         self.path: list[int] = []
         self.silent = 0
@@ -80,20 +85,26 @@ class _Page(HTMLParser):
         quiet = tag in SILENT or self._noise(tag, named)
         container = tag in CONTAINERS
         if container:
-            main = tag in ("article", "main") or named.get("role") in ("main", "article") or (
-                named.get("itemprop") == "articleBody")
+            kind = tag
+            if tag == "main" or named.get("role") == "main":
+                kind = "main"
+            elif tag == "article" or named.get("role") == "article" or named.get("itemprop") == "articleBody":
+                kind = "article"
+            inside = {self.kinds[i] for i in self.path}
             self.path.append(len(self.kinds))
-            self.kinds.append("main" if main else tag)
+            self.kinds.append(kind)
+            if kind in MARKED and kind not in inside and not self._named_noise(named):
+                self.marked[self.path[-1]] = tuple(self.path)
         self.stack.append((tag, quiet, container))
         self.silent += quiet
-        self.tags += 1
+        self.tags += not self.silent
 
     def _void(self, tag: str) -> None:
         if tag == "br":
             self.parts.append(" ")
         elif tag == "hr":
             self.flush()
-        self.tags += tag not in INLINE_END
+        self.tags += tag not in INLINE_END and not self.silent
 
     def _noise(self, tag: str, named: dict) -> bool:
         if tag in ("html", "body", "article", "main"):
@@ -102,9 +113,14 @@ class _Page(HTMLParser):
             return True
         label = f"{named.get('class') or ''} {named.get('id') or ''}".strip().lower()
         if (tag == "header" or HEADER.search(label)) and not any(
-            self.kinds[i] == "main" for i in self.path
+            self.kinds[i] in MARKED for i in self.path
         ):
             return True
+        return self._named_noise(named)
+
+    @staticmethod
+    def _named_noise(named: dict) -> bool:
+        label = f"{named.get('class') or ''} {named.get('id') or ''}".strip().lower()
         return any(NOISE.search(name) and not STATE.search(name) for name in label.split())
 
     def _close_implied(self, tag: str) -> None:
@@ -131,7 +147,7 @@ class _Page(HTMLParser):
         if tag in VOID:
             self._void(tag)
             return
-        self.tags += 1
+        self.tags += not self.silent
         for depth in range(len(self.stack) - 1, -1, -1):
             open_tag = self.stack[depth][0]
             if open_tag == tag:
@@ -191,6 +207,26 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
+def _region(page: _Page, weight: dict[int, int], chosen: int) -> int | None:
+    """The container of the content, None for the whole page.
+
+    ``weight`` is the length of the chosen lines in each container.
+    """
+    held = Counter(container for _, _, path in page.lines for container in path)
+    for kind in MARKED:  # what holds all parts
+        parts = [path for i, path in page.marked.items() if page.kinds[i] == kind and held[i]]
+        if not any(path[-1] in weight for path in parts):
+            continue
+        if len(parts) == 1:
+            return parts[0][-1]
+        ends = zip(min(parts), max(parts), strict=False)
+        return max((i for i, j in ends if i == j and page.kinds[i] not in INNER), default=None)
+    # Containers are numbered in the order they open: the last that holds all chosen lines is the
+    # innermost.  One that holds a single line is that line, not a region.
+    return max((i for i, w in weight.items() if w == chosen and held[i] > 1 and page.kinds[i] not in INNER),
+               default=None)
+
+
 def extract(html: str | None) -> str:
     """The main text of one page, '' if there is none.
 
@@ -213,16 +249,7 @@ def extract(html: str | None) -> str:
             chosen += len(text)
             for container in path:
                 weight[container] = weight.get(container, 0) + len(text)
-    marked = [i for i in weight if page.kinds[i] == "main"]
-    if marked:
-        # The marked element with most content; outer ones win ties, being smaller in number.
-        region = max(marked, key=lambda i: (weight[i], -i))
-    else:
-        # Containers are numbered in the order they open: the last that holds nearly all is the
-        # innermost.  One that holds a single line is that line, not a region.
-        held = Counter(container for _, _, path in lines for container in path)
-        region = max(
-            (i for i, w in weight.items() if w >= 0.8 * chosen and held[i] > 1), default=None)
+    region = _region(page, weight, chosen)
     return " ".join(text for text, _, path in lines if region is None or region in path)
 
 

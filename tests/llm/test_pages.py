@@ -172,3 +172,25 @@ def test_hosts_without_outcomes_are_judged_by_domain_and_suffix(spark):
     got = judge_urls(pages(spark, [(i, u, "") for i, u in enumerate(urls)]), frame).collect()
     assert {r.url: r.verdict for r in got} == urls
     assert all((r.bound is None) == (r.host == "") for r in got)
+
+
+LEAD = "The lead of the article has a good many words, too, and says what it is all about."
+ITEMS = "".join(f"<li>Item {i} of the list is a rather long one and has many words in it, more than most.</li>" for i in range(12))
+ITEM_TEXT = " ".join(f"Item {i} of the list is a rather long one and has many words in it, more than most." for i in range(12))
+CELLS = ITEMS.replace("<li>", "<tr><td>").replace("</li>", "</td></tr>")
+SPLIT = {
+    f'<div id="page"><div class="lead"><p>{LEAD} {LEAD}</p></div><div class="body">{ARTICLE}</div></div>': f"{LEAD} {LEAD} {TEXT}",
+    f'<div id="page"><h1>A heading</h1><p>{LEAD}</p><ul>{ITEMS}</ul></div>': f"A heading {LEAD} {ITEM_TEXT}",
+    f'<div id="page"><h1>A heading</h1><p>Short.</p><ol>{ITEMS}</ol></div>': f"A heading Short. {ITEM_TEXT}",
+    f'<div id="page"><h1>A heading</h1><p>Short.</p><table>{CELLS}</table></div>': f"A heading Short. {ITEM_TEXT}",
+    f"<div><article><p>{LEAD}</p></article><article>{ARTICLE}</article></div>": f"{LEAD} {TEXT}",
+    f"<article>{ARTICLE}</article><h2>Part two</h2><article><p>{LEAD}</p></article>": f"{TEXT} Part two {LEAD}",
+    f'<div><article>{ARTICLE}</article><article class="related"><p>{LEAD}</p></article></div>': TEXT,
+    f"<main><article><p>{LEAD}</p></article><article>{ARTICLE}</article></main><div><p>{LEAD}</p></div>": f"{LEAD} {TEXT}",
+}
+
+
+@pytest.mark.parametrize("parts", SPLIT)
+def test_articles_of_several_parts_are_whole(parts):
+    page = f"<html><head><title>T</title></head><body>{AROUND.format(parts)}</body></html>"
+    assert extract(page) == SPLIT[parts]
