@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.llm.bpe import decode_ids, encode_texts
 from lexispan.llm.chat import Template, format_chats, learnt_text, turns_of
 from lexispan.llm.decontaminate import contamination
 from lexispan.llm.exact_dedup import exact_groups
+from lexispan.llm.filter_audit import audit, failure_counts
 from lexispan.llm.html_text import extract_pages
 from lexispan.llm.mixing import mix_sources
 from lexispan.llm.simhash import hex_fingerprint, near_duplicates
+from lexispan.llm.source_audit import source_divergence
 from lexispan.llm.substring_dedup import remove_repeats
 from lexispan.llm.toxicity import fit, held_out, score_texts
 from lexispan.llm.url_filter import Rule, judge_urls
@@ -111,10 +115,31 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids in a public vocabulary, and of what they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = encode_texts(_table(spark, sf_dir, "documents"), path)
+    return decode_ids(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every language, order and step."""
+    return audit(failure_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of every language are from one another, and by which words."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_chat_format, op2_toxicity, op3_source_mix, op4_substring_dedup, op5_warc, op6_url_filter,
-        op7_html_text, op8_decontaminate, op9_exact_dedup, op10_simhash,
+        op7_html_text, op8_decontaminate, op9_exact_dedup, op10_simhash, op11_bpe, op12_filter_audit,
+        op13_source_divergence,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from lexispan.llm.chat import Template
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -174,6 +176,83 @@ g AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+
+
+def _op12() -> str:
+    steps = ", ".join(
+        f"('{''.join(order)}', {k + 1}, {1 << 'ABCDE'.index(order[k])}, {sum(1 << 'ABCDE'.index(x) for x in order[:k])})"
+        for order in itertools.permutations("ABCDE") for k in range(5))
+    return f"""
+WITH w AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), d AS (
+    SELECT doc_id, part, (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END)
+           + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+           + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END)
+           + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+           + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END) AS mask
+    FROM w
+), c AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+    FROM d LEFT JOIN labels USING (doc_id) GROUP BY part, mask
+), o(filter_order, step, own, before) AS (VALUES {steps}),
+s AS (
+    SELECT part, filter_order, step, own,
+           sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+    FROM c, o GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM s
+"""
+
+
+# Every term of every pair, without collapsing or histograms.
+_OP13 = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT row, lang, source, unnest(regexp_extract_all({_LOWER.format('text')},
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+every AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+    FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+    SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+    FROM every JOIN v USING (lang)
+), l AS (
+    SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+    FROM (SELECT lang, term, sum(n) AS n FROM every GROUP BY lang, term) JOIN v USING (lang)
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q)
+    FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+) WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLES = {
     "op1_chat_format": _op1(),
     "op3_source_mix": _OP3,
@@ -181,4 +260,6 @@ ORACLES = {
     "op5_warc": _OP5,
     "op6_url_filter": _OP6,
     "op9_exact_dedup": _OP9,
+    "op12_filter_audit": _op12(),
+    "op13_source_divergence": _OP13,
 }
