@@ -40,8 +40,12 @@ def answer_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qa_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Examples nested by title and flattened again."""
-    nested = nest_examples(inputs.qa_examples(spark, sf_dir))
-    return flatten_articles(nested).select(
+    return flat_rows(flatten_articles(nest_examples(inputs.qa_examples(spark, sf_dir))))
+
+
+def flat_rows(questions: DataFrame) -> DataFrame:
+    """Flat questions with their first answer."""
+    return questions.select(
         "id", "title", "question", "context", "has_ans",
         F.coalesce(F.get("answers.text", F.lit(0)), F.lit("")).alias("answer"),
         F.coalesce(F.get("answers.answer_start", F.lit(0)), F.lit(-1)).alias("answer_start"),
