@@ -19,6 +19,7 @@ halves is the whole encoding, so the growth ends.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -27,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -46,6 +48,8 @@ CACHED_WORDS = 250_000
 CACHED_BYTES = 64
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Characters whose normal form, lower case and kind are the same in every version of Unicode.
+_PLAIN = re.compile(r"[\x21-\x7E\u00A1-\u017F]+")
 _codecs: dict[str, Codec] = {}
 
 
@@ -57,47 +61,59 @@ class Codec:
     """
 
     def __init__(self, spec: str) -> None:
-        model = json.loads(spec)["model"]
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_padding()
-        self.library.no_truncation()
+        parsed = json.loads(spec)
+        model, added = parsed["model"], parsed.get("added_tokens") or []
         if model.get("type", "BPE") != "BPE" or model.get("dropout"):
             raise ValueError("a BPE model without dropout is needed")
-        apart = [i for word in ("a", "b'", "c") for i in self._plain([word])[0]]
-        if self._plain(["a b'\t c"])[0] != apart:
-            raise ValueError("the tokenizer's splits must drop white space")
-        if any(len(t.content) >= MARGIN for t in self.library.get_added_tokens_decoder().values()):
+        if any(len(token["content"]) >= MARGIN for token in added):
             raise ValueError("a special token is longer than the margin of the joins")
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        vocabulary = model["vocab"] | {token["content"]: token["id"] for token in added}
         self.names = np.full(max(vocabulary.values(), default=-1) + 1, None, object)
         for name, i in vocabulary.items():
             self.names[i] = name
-        self.bare = self.library.decoder is None
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        self.bare = not parsed.get("decoder")
+        self.pieces_of = _splitter(parsed)
+        self.special = re.compile(b"|".join(re.escape(t["content"].encode()) for t in added) or rb"(?!)")
+        self.spec, self.young, self.old, self.pieces = spec, {}, {}, {}
+
+    @functools.cached_property
+    def library(self) -> Tokenizer:
+        """The library's tokenizer; a worker that only decodes needs none."""
+        library = Tokenizer.from_str(self.spec)
+        library.no_padding()
+        library.no_truncation()
+        ids = [e.ids for e in library.encode_batch(["a", "b'", "c", "a b'\t c"], add_special_tokens=False)]
+        if [i for part in ids[:3] for i in part] != ids[3]:
+            raise ValueError("the tokenizer's splits must drop white space")
+        return library
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.pieces_of is None or not _PLAIN.fullmatch(text) or self.special.search(word):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        known, found = self.pieces, []
+        for piece in self.pieces_of(text.lower()):
+            if (ids := known.get(piece)) is None:
+                if len(known) > CACHED_WORDS:
+                    known.clear()
+                # The model sees the bytes of a piece as characters.
+                seen = piece if piece.isascii() else "".join(map(_BYTES.__getitem__, piece.encode()))
+                ids = known[piece] = np.array([t.id for t in self.library.model.tokenize(seen)], np.uint32).tobytes()
+            found.append(ids)
+        return b"".join(found)
 
     def words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word as bytes of four; a word is encoded once while it stays cached."""
+        """The ids of each word as bytes of four; a short word is encoded once while it stays cached."""
         young, old = self.young, self.old
         if len(young) > CACHED_WORDS:
             self.old, self.young = old, young = young, {}
-        unknown = []
+        long = {}
         for word in set(words).difference(young):
-            if (known := old.get(word)) is not None:
-                young[word] = known
-            else:
-                unknown.append(word)
-        long: dict[bytes, bytes] = {}
-        for start in range(0, len(unknown), 4096):
-            part = unknown[start: start + 4096]
-            for word, ids in zip(part, self._plain([w.decode() for w in part]), strict=True):
-                (young if len(word) <= CACHED_BYTES else long)[word] = np.array(ids, np.uint32).tobytes()
-        if long:
-            return [long[w] if len(w) > CACHED_BYTES and w in long else young[w] for w in words]
-        return [young[w] for w in words]
+            ids = old.get(word)
+            if ids is None:
+                ids = self._word(word)
+            (young if len(word) <= CACHED_BYTES else long)[word] = ids
+        return [young[w] if w in young else long[w] for w in words] if long else [young[w] for w in words]
 
     def ids(self, text: bytes) -> np.ndarray:
         """The ids of a whole text.  White space of ASCII is dropped and joins nothing."""
@@ -113,23 +129,21 @@ class Codec:
 
     def leaf(self, text: str, at: int) -> Encoding:
         """As ``window``; of short words only the first token has its place, and no end is told."""
-        ids, places = [], []
         spans = [m.span() for m in _WORD.finditer(text)]
-        encoded = [text[i:j].encode() for i, j in spans]
-        short = [w for w in encoded if len(w) <= CACHED_BYTES]
-        known = iter(self.words(short))
-        for (i, _), word in zip(spans, encoded, strict=True):
-            if len(word) <= CACHED_BYTES:
-                own = np.frombuffer(next(known), np.uint32)
-                place = np.full(len(own), -1, np.int64)
-                place[:1] = at + i
-            else:
-                found = self.window(word.decode(), at + i)
-                own, place = found.ids, found.starts
-            ids.append(own)
-            places.append(place)
-        return Encoding(
-            np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *places]))
+        words = [text[i:j].encode() for i, j in spans]
+        long = {k: self.window(text[i:j], at + i) for k, (i, j) in enumerate(spans) if j - i > CACHED_BYTES}
+        encoded = self.words([b"" if k in long else w for k, w in enumerate(words)])
+        for k, found in long.items():
+            encoded[k] = found.ids.tobytes()
+        ids = np.frombuffer(b"".join(encoded), np.uint32)
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        first = np.cumsum(counts) - counts
+        places = np.full(len(ids), -1, np.int64)
+        some = counts > 0
+        places[first[some]] = at + np.array([i for i, _ in spans], np.int64)[some]
+        for k, found in long.items():
+            places[first[k]: first[k] + counts[k]] = found.starts
+        return Encoding(ids, places)
 
     def text(self, ids: np.ndarray) -> str:
         """What the library decodes ``ids`` to, special tokens included; unknown ids are skipped."""
@@ -139,6 +153,28 @@ class Codec:
         return " ".join(filter(None, self.names[ids].tolist()))
 
 
+def _splitter(parsed: dict):
+    """The file's split of lower-cased text into pieces, if it is a pattern followed by byte characters."""
+    steps = (parsed.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    forms = [step["type"] for step in (parsed.get("normalizer") or {}).get("normalizers") or []]
+    if [step["type"] for step in steps] != ["Split", "ByteLevel"] or forms != ["NFC", "Replace", "Lowercase"]:
+        return None
+    split, level = steps
+    if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+        return None
+    return regex.compile(split["pattern"]["Regex"]).findall if "Regex" in split["pattern"] else None
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: itself if printable, else the next one from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
+_BYTES = _byte_characters()
+
+
 class Encoding:
     """Ids with the character each token starts at (-1: inside a character, or not told)."""
 
@@ -243,19 +279,28 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 def encode_texts(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", leaf_chars: int = LEAF_CHARS,
+    decoded: str | None = None,
 ) -> DataFrame:
     """``(id, ids array<int>)`` per row of ``docs``: its whole text in the vocabulary of the file ``path``.
 
+    With ``decoded`` a column of this name has what ``decode_ids`` makes of the ids.
+
     The ids are those of the file's own library with special tokens found in texts but
     none added, and neither padding nor truncation.  Null text is empty and has no ids.
     Rows that repeat an id or a text, or have no id, each give a row.  Other columns are
     not read; no rows give no rows.
     """
     spec = _shared_spec(docs, path)
+    codec_of(spec.value).library  # refuse the file here and not in a task
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     long = F.char_length("_text") > leaf_chars
+    out = f"_id {kind}, ids array<int>" + (", _decoded string" if decoded else "")
+
+    def result(codec: Codec, ids: pa.Array, found: list[np.ndarray]) -> dict[str, pa.Array]:
+        texts = {"_decoded": pa.array(map(codec.text, found), pa.string())} if decoded else {}
+        return {"_id": ids, "ids": _lists(found), **texts}
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(spec.value)
@@ -263,7 +308,7 @@ def encode_texts(
             texts = batch["_text"].cast(pa.large_string()).cast(pa.large_binary())
             for start, stop in slices(texts):
                 found = [codec.ids(t) for t in texts[start:stop].to_pylist()]
-                yield pa.record_batch({"_id": batch["_id"][start:stop], "ids": _lists(found)})
+                yield pa.record_batch(result(codec, batch["_id"][start:stop], found))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,17 +342,17 @@ def encode_texts(
         encoded = {low: Encoding(np.frombuffer(ids, np.uint32), np.frombuffer(places, np.int64))
                    for low, _, ids, places in leaves}
         found = join_tree(codec, text, 0, len(text), encoded, leaf_chars)
-        return pa.table({"_id": group["_id"][:1], "ids": _lists([found.ids])})
+        return pa.table(result(codec, group["_id"][:1].combine_chunks(), [found.ids]))
 
-    short = rows.filter(~long).mapInArrow(whole, f"_id {kind}, ids array<int>")
+    short = rows.filter(~long).mapInArrow(whole, out)
     # The row's number is drawn once: the leaves are stored before anything depends on it.
     leaves = rows.filter(long).withColumn("_row", F.monotonically_increasing_id()).mapInArrow(
         cut, f"_id {kind}, _row long, low long, part string")
     leaves = stored(leaves.repartition("_row", "low"), "leaves")
     joined = leaves.mapInArrow(
         encode, f"_id {kind}, _row long, low long, part string, ids binary, places binary"
-    ).groupBy("_row").applyInArrow(join, f"_id {kind}, ids array<int>")
-    return short.unionByName(joined).withColumnRenamed("_id", id_col)
+    ).groupBy("_row").applyInArrow(join, out)
+    return short.unionByName(joined).toDF(id_col, "ids", *([decoded] if decoded else []))
 
 
 def decode_ids(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

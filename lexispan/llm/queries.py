@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispan.llm.bpe import decode_ids, encode_texts
+from lexispan.llm.bpe import encode_texts
 from lexispan.llm.chat import Template, format_chats, learnt_text, turns_of
 from lexispan.llm.decontaminate import contamination
 from lexispan.llm.exact_dedup import exact_groups
@@ -118,8 +118,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids in a public vocabulary, and of what they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = encode_texts(_table(spark, sf_dir, "documents"), path)
-    return decode_ids(encoded, path).select(
+    return encode_texts(_table(spark, sf_dir, "documents"), path, decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -86,6 +86,8 @@ def test_table(spark):
     for r in rows:
         assert r.decoded == LIBRARY.decode(r.ids, skip_special_tokens=False)
     assert encode_texts(table.limit(0), PATH).collect() == []
+    both = encode_texts(table, PATH, leaf_chars=500, decoded="id").collect()
+    assert sorted(map(repr, both)) == sorted(repr(r).replace("decoded=", "id=") for r in rows)
 
 
 def test_decoding_of_null_and_unknown_ids(spark):
@@ -94,8 +96,8 @@ def test_decoding_of_null_and_unknown_ids(spark):
 
 
 def test_other_tokenizers_are_refused():
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file, pytest.raises(ValueError):
-        Codec(file.read())
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file, pytest.raises(ValueError):  # splits that keep blanks
+        Codec(file.read()).library
 
 
 def test_query_against_the_library(spark):
