@@ -3,8 +3,8 @@
 Rows of one language with the same text are collapsed to one text with its number of
 rows per source.  Each text is taken apart into terms once, and its counts and document
 frequencies are weighed by those numbers.  Divergences of pairs of sources are summed over
-the terms that both have; where a source lacks a term, only the other's count matters, so
-a histogram of that source's counts replaces its terms.
+the terms that both have; where a source lacks a term, only the other's share matters, so
+the numbers of terms with the same share replace its terms.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,6 @@ TOP_TERMS = 10
 MAX_BROADCAST_BYTES = 32 << 20
 #: Entries a task gathers before it hands them on.
 GATHERED = 400_000
-_DOCS = 80
 # In UTF-8 every byte from 0x80 on belongs to a term.
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -62,19 +62,26 @@ def weighted_terms(texts: DataFrame) -> DataFrame:
     counts; a task hands on what it has gathered before that grows without bound.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Per language and source: documents of a term above _DOCS, its count below.
-        gathered: dict[str, dict[str, dict[bytes, int]]] = defaultdict(lambda: defaultdict(dict))
+        # Per language and source: the counts of terms, and the documents that have them.
+        gathered: dict[str, dict[str, tuple[Counter, Counter]]] = defaultdict(lambda: defaultdict(lambda: (Counter(), Counter())))
         size = 0
         for batch in batches:
             texts = batch["text"].cast(pa.large_string()).cast(pa.large_binary())
             for i, (lang, weights) in enumerate(zip(batch["lang"].to_pylist(), batch["weights"].to_pylist(), strict=True)):
-                counts = Counter(_TERM.findall(texts[i].as_py().lower()))
+                words = _TERM.findall(texts[i].as_py().lower())
+                distinct = set(words)
+                if len(weights) > 1 or weights[0]["n"] > 1:
+                    counts = Counter(words)
                 for weight in weights:
-                    own, times = gathered[lang][weight["source"]], weight["n"]
-                    before, one = len(own), times << _DOCS
-                    for term, n in counts.items():
-                        own[term] = own.get(term, 0) + n * times + one
-                    size += len(own) - before
+                    counted, docs = gathered[lang][weight["source"]]
+                    before = len(docs)
+                    if (times := weight["n"]) == 1:
+                        counted.update(words)
+                        docs.update(distinct)
+                    else:
+                        counted.update({term: n * times for term, n in counts.items()})
+                        docs.update(dict.fromkeys(distinct, times))
+                    size += len(docs) - before
                 if size > GATHERED:
                     yield from handed_on(gathered)
                     gathered.clear()
@@ -84,22 +91,28 @@ def weighted_terms(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "lang string, term string, docs long, sources array<string>, ns array<long>")
 
 
-def handed_on(gathered: dict[str, dict[str, dict[bytes, int]]]) -> Iterator[pa.RecordBatch]:
-    below = (1 << _DOCS) - 1
+def handed_on(gathered: dict[str, dict[str, tuple[Counter, Counter]]]) -> Iterator[pa.RecordBatch]:
+    """The gathered numbers with the sources of a term side by side."""
     for lang, sources in gathered.items():
-        terms: dict[bytes, list[tuple[str, int]]] = defaultdict(list)
-        for source, own in sources.items():
-            for term, both in own.items():
-                terms[term].append((source, both))
-        todo = list(terms.items())
-        for k in range(0, len(todo), 1 << 16):
-            some = todo[k: k + (1 << 16)]
-            yield pa.record_batch({
-                "lang": pa.array([lang] * len(some), pa.string()),
-                "term": pa.array([term for term, _ in some], pa.binary()).cast(pa.string()),
-                "docs": pa.array([sum(both >> _DOCS for _, both in own) for _, own in some], pa.int64()),
-                "sources": pa.array([[source for source, _ in own] for _, own in some], pa.list_(pa.string())),
-                "ns": pa.array([[both & below for _, both in own] for _, own in some], pa.list_(pa.int64()))})
+        own = [(source, *both) for source, both in sources.items() if both[0]]
+        if not own:
+            continue
+        terms = pa.chunked_array([pa.array(counted.keys(), pa.binary()) for _, counted, _ in own]).combine_chunks().dictionary_encode()
+        code = terms.indices.to_numpy()
+        ns = np.concatenate([np.fromiter(counted.values(), np.int64, len(counted)) for _, counted, _ in own])
+        docs = np.concatenate([np.fromiter(map(docs.__getitem__, counted), np.int64, len(counted)) for _, counted, docs in own])
+        source = np.repeat(np.arange(len(own)), [len(counted) for _, counted, _ in own])
+        order = np.argsort(code, kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(code))])
+        in_docs = np.add.reduceat(docs[order], bounds[:-1])
+        names = pa.DictionaryArray.from_arrays(pa.array(source[order]), pa.array([s for s, _, _ in own], pa.string()))
+        offsets, words = pa.array(bounds, pa.int32()), terms.dictionary.cast(pa.string())
+        whole = pa.record_batch({
+            "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(len(words), np.int64))), "term": words,
+            "docs": pa.array(in_docs), "sources": pa.ListArray.from_arrays(offsets, names.cast(pa.string())),
+            "ns": pa.ListArray.from_arrays(offsets, pa.array(ns[order]))})
+        for k in range(0, len(words), 1 << 14):
+            yield whole.slice(k, 1 << 14)
 
 
 def kept_terms(parts: DataFrame, min_docs: int) -> DataFrame:
@@ -164,30 +177,24 @@ def source_divergence(
         F.col("one.lang").alias("lang"), F.col("one.source").alias("source"), F.col("other.source").alias("item"),
         F.col("one.terms").alias("terms"), F.col("one.none").alias("p0"), F.col("other.none").alias("q0"))
 
-    own = kept.select("lang", F.posexplode("own").alias("k", "entry"), "own", "term", F.col("n").alias("lang_n")).select(
-        "lang", "term", "lang_n", "own", F.col("entry.source").alias("source"), F.col("entry.n").alias("n"))
-    # Terms that one source has, by its count alone.
-    histogram = stored(own.groupBy("lang", "source", "n").agg(F.count(F.lit(1)).alias("times"))
-                       .join(sizes.drop("none", "lang_total"), ["lang", "source"])
-                       .select("lang", "source", "times", share(F.col("n"), F.col("total"), F.col("terms")).alias("p")), "histogram")
+    own = kept.select("lang", "term", F.col("n").alias("lang_n"), F.inline("own")).join(sizes, ["lang", "source"]).select(
+        "lang", "term", "source", "lang_n", "lang_total", "terms", "none",
+        share(F.col("n"), F.col("total"), F.col("terms")).alias("p"))
+    own = stored(own, "shares")
+    # Terms that one source has: how often each share occurs.
+    histogram = own.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("times"))
     raised = F.col("times") * (divergence(F.col("p"), F.col("q0")) - divergence(F.col("p0"), F.col("q0")))
-    one_sided = pairs.join(histogram, ["lang", "source"]).groupBy("lang", "source", "item", "p0", "q0").agg(
-        F.sum(raised).alias("value")).select("lang", "source", "item", "value")
-    # Terms that both have, by the counts of both; a pair is met once, in the order of its names.
-    later = F.filter("own", lambda entry: entry["source"] > F.col("source"))
-    both = own.select("lang", "source", "n", F.inline(F.transform(later, lambda e: F.struct(
-        e["source"].alias("item"), e["n"].alias("m")))))
-    both = both.groupBy("lang", "source", "item", "n", "m").agg(F.count(F.lit(1)).alias("times"))
-    facts = ["total", "terms", "none"]
-    sized = both.join(sizes.select("lang", "source", *facts), ["lang", "source"]).join(
-        sizes.select("lang", F.col("source").alias("item"), F.col("total").alias("item_total"), F.col("none").alias("q0")),
-        ["lang", "item"]).select(
-            "lang", "source", "item", "times", F.col("none").alias("p0"), "q0",
-            share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
-            share(F.col("m"), F.col("item_total"), F.col("terms")).alias("q"))
+    one_sided = stored(pairs.join(histogram, ["lang", "source"]).groupBy("lang", "source", "item").agg(
+        F.sum(raised).alias("value")), "one-sided")
+    # Terms that both have; a pair is met once, in the order of its names.
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
-    mended = F.col("times") * (divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0))
-    common = stored(sized.groupBy("lang", "source", "item").agg(F.sum(mended).alias("value")), "common-terms")
+    beside = own.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("source").alias("item"), F.col("p").alias("q"), F.col("none").alias("q0")))).alias("own"))
+    both = beside.select("lang", "own", F.posexplode("own").alias("k", "one")).select(
+        "lang", F.col("one.item").alias("source"), F.col("one.q").alias("p"), F.col("one.q0").alias("p0"),
+        F.inline(F.slice("own", F.col("k") + 2, F.size("own"))))
+    mended = divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0)
+    common = stored(both.groupBy("lang", "source", "item").agg(F.sum(mended).alias("value")), "common-terms")
     everywhere = pairs.select("lang", "source", "item", F.when(
         F.col("terms") > 0, F.col("terms") * divergence(p0, q0)).otherwise(0).alias("value"))
 
@@ -199,13 +206,13 @@ def source_divergence(
 
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = paired.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
-    of_terms = own.drop("own").filter("n > 0").join(sizes.drop("none"), ["lang", "source"]).select(
-        "lang", "source", F.col("term").alias("item"), share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
+    of_terms = own.select(
+        "lang", "source", F.col("term").alias("item"), "p",
         share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q")).filter("p > q")
     # Spark limits every partition to its best before the shuffle.
     telling = of_terms.select("lang", "source", "item", divergence(p, q).alias("value")).withColumn(
         "rank", F.row_number().over(order)).filter(F.col("rank") <= top_terms).withColumn("part", F.lit("term"))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     result = stored(ranked.select(*columns).unionByName(telling.select(*columns)), "divergence")
-    forget(kept, sizes, groups, histogram, common)
+    forget(kept, sizes, groups, own, one_sided, common)
     return result
