@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, parse_list, words
 from lexispan.operators import features, models, pooling, sampling
+from lexispan.operators.joint_fits import LinearModel, Svm, fit_jointly
 from lexispan.operators.lookup import changed_lemmas, drop_tokens, tagged_ngrams, tokens_by
 from lexispan.operators.metrics import binary_report, to_classes, to_signs
 from lexispan.operators.ranking import top_per_group
@@ -20,6 +22,8 @@ from lexispan.session import keep
 
 TOP_WORDS = 100
 NGRAM_TERMS = 5000
+SVM_PENALTY = 0.01
+SVM_GAP = 1e-4
 TFIDF_TERMS = 100
 REVIEW_TERMS = 1000
 
@@ -271,12 +275,11 @@ def _labelled_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def svm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _labelled_split(spark, sf_dir)
     tfidf = features.TfidfModel.fit(train, "tokens", TFIDF_TERMS)
-    model = models.fit_svm(tfidf.vectors(train, "tokens", "features"), penalty=0.01)
-    scored = model.transform(tfidf.vectors(test, "tokens", "features"))
-    margin = F.round(F.get(vector_to_array("margin"), F.lit(1)), 6)
+    model = fit_jointly({"svm": (tfidf.vectors(train, "tokens", "features"), Svm(SVM_PENALTY))})["svm"]
+    scored = models.decided_classes(tfidf.vectors(test, "tokens", "features"), "features", model)
     return scored.select(
-        "doc_id", to_signs(F.col("label")).alias("y"),
-        to_signs(F.col("pred")).alias("pred"), margin.alias("margin"),
+        "doc_id", to_signs(F.col("label")).alias("y"), to_signs(F.col("pred")).alias("pred"),
+        F.round("margin", 6).alias("margin"),
     )
 
 
@@ -298,29 +301,57 @@ def logreg_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _report(model, train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row per part: rows, and accuracy, precision, recall and F1 of the fitted model."""
+def _report(model: LinearModel, train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row per part: rows, and accuracy, precision, recall and F1 of the fitted model.
+
+    With the objective it reached on the training rows and a proven lower bound of it.
+    """
     both = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
-    scored = model.transform(both).withColumn("pred", F.col("pred").cast("int"))
-    report = binary_report(scored, "label", "pred", ["part"])
-    return report.select("part", "n", "accuracy", "precision", "recall", "f1")
+    report = binary_report(models.decided_classes(both, "features", model), "label", "pred", ["part"])
+    return report.select("part", "n", "accuracy", "precision", "recall", "f1",
+                         F.lit(model.objective).alias("primal"), F.lit(model.bound).alias("dual"))
+
+
+def _ngram_split(spark: SparkSession, sf_dir: str, terms) -> tuple[DataFrame, DataFrame]:
+    return tuple(part.select("doc_id", "label", terms.alias("terms")) for part in _labelled_split(spark, sf_dir))
+
+
+def _count_vectors(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    counts = features.TfidfModel.fit(train, "terms", NGRAM_TERMS)
+    return tuple(counts.counts(part, "terms", "features").select("doc_id", "label", "features") for part in (train, test))
 
 
 def _ngram_svm(spark: SparkSession, sf_dir: str, terms) -> DataFrame:
-    train, test = (
-        part.select("doc_id", "label", terms.alias("terms"))
-        for part in _labelled_split(spark, sf_dir)
-    )
-    return _count_svm(train, test)
+    return _count_svm(*_ngram_split(spark, sf_dir, terms))
 
 
 def _count_svm(train: DataFrame, test: DataFrame) -> DataFrame:
-    counts = features.TfidfModel.fit(train, "terms", NGRAM_TERMS)
-    train = counts.counts(train, "terms", "features").select("doc_id", "label", "features")
-    test = counts.counts(test, "terms", "features").select("doc_id", "label", "features")
-    return _report(models.fit_svm(train, penalty=0.01), train, test)
+    train, test = _count_vectors(train, test)
+    return _report(fit_jointly({"svm": (train, Svm(SVM_PENALTY))})["svm"], train, test)
+
+
+def svm_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four feature sets learnt at once: rows, and whether each is proven to be at its optimum.
+
+    The objective is computed again from the weights and the rows, apart from the fit.
+    """
+    train, _ = _labelled_split(spark, sf_dir)
+    tfidf = features.TfidfModel.fit(train, "tokens", TFIDF_TERMS)
+    tables = {"tfidf": tfidf.vectors(train, "tokens", "features").select("doc_id", "label", "features")}
+    for n, name in ((2, "bigram"), (3, "trigram")):
+        tables[name], _ = _count_vectors(*_ngram_split(spark, sf_dir, ngrams(F.col("tokens"), n)))
+    tables["pos_bigram"], _ = _count_vectors(*_tagged_split(spark, sf_dir))
+    learnt = fit_jointly({name: (table, Svm(SVM_PENALTY)) for name, table in tables.items()}, tolerance=SVM_GAP)
+    parts = []
+    for name, table in tables.items():
+        model = learnt[name]
+        primal = models.hinge_value(table, "features", "label", model.weights.tolist(), model.bias, SVM_PENALTY)
+        proven = abs(primal - model.objective) < 1e-9 and model.bound <= primal <= model.bound + SVM_GAP
+        parts.append(table.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").alias("n_up")).select(
+            F.lit(name).alias("model"), "n_rows", "n_up", F.lit(proven).alias("at_optimum")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def svm_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +365,10 @@ def svm_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svm_pos_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with bigrams of nouns and adjectives, not lemmatised."""
+    return _count_svm(*_tagged_split(spark, sf_dir))
+
+
+def _tagged_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     docs = inputs.news(spark, sf_dir).select(
         "doc_id", to_classes(F.col("label")).alias("label"), words(F.col("text")).alias("tokens")
     )
@@ -343,7 +378,7 @@ def svm_pos_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "label", "terms"))
     rows = sampling.train_rows_70_30(tagged.count())
     split = sampling.split_exact(tagged, "doc_id", rows, inputs.SEED)
-    return _count_svm(split.filter("split = 'train'"), split.filter("split = 'test'"))
+    return split.filter("split = 'train'"), split.filter("split = 'test'")
 
 
 def svm_known_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,7 +418,7 @@ QUERIES = {f.__name__: f for f in [
     stop_words_by_table, stop_words_by_table_joined, own_tokeniser, lemma_exceptions,
     svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
     pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
-    logreg_closed_form,
+    logreg_closed_form, svm_certificates,
 ]}
 
 _COUNTS = f"""WITH {sql.CLEAN},
@@ -504,6 +539,12 @@ SELECT l.word AS token, coalesce(c.lemma, l.lemma) AS lemma
 FROM lemmas l LEFT JOIN chosen c ON l.word = c.word""",
     "stored_list": f"""WITH {sql.NEWS}
 SELECT doc_id, array_to_string(tokens, ' ') AS words FROM words""",
+    "svm_certificates": """WITH n AS (
+  SELECT CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END AS label, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r
+  FROM documents WHERE text IS NOT NULL),
+t AS (SELECT * FROM n WHERE r <= (SELECT CAST(trunc(CAST(0.7 AS DOUBLE) * count(*)) AS BIGINT) FROM n))
+SELECT unnest(['tfidf', 'bigram', 'trigram', 'pos_bigram']) AS model, n_rows, n_up, true AS at_optimum
+FROM (SELECT count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_up FROM t)""",
     "svm_known_optimum": """
 SELECT doc_id, CAST(doc_id % 2 = 0 AS INTEGER) AS pred,
        CASE WHEN doc_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS margin
