@@ -31,7 +31,22 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is not in the one column of ``dropped``."""
-    name = free_name(df, "dropped")
-    return df.join(dropped.toDF(name), F.col(id_col) == F.col(name), "left_anti")
+def drop_rows(df: DataFrame, id_col: str, digest: Column, dropped: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``df`` without some rows, all columns as they were.
+
+    Rows are known by their id, which may be null or repeated, and the ``digest`` of their
+    text.  Those whose two are in ``dropped`` go; of those in ``repeated``, which stand in
+    ``df`` several times, one stays.  Both tables are ``(id, digest)`` with every pair once.
+    """
+    key, other, mark = (free_name(df, name) for name in ("digest", "other_digest", "other_id"))
+    keyed = df.withColumn(key, digest)
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        same = (F.col(key) == F.col(other)) & F.col(id_col).eqNullSafe(F.col(mark))
+        return rows.join(keys.toDF(mark, other), same, how)
+
+    left = among(keyed, dropped, "left_anti")
+    if not repeated.isEmpty():
+        left = among(left, repeated, "left_anti").unionByName(
+            among(left, repeated, "left_semi").dropDuplicates([id_col, key]))
+    return left.drop(key)

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexispan.llm.columns import ascii_lower, without
+from lexispan.llm.columns import ascii_lower, drop_rows
 from lexispan.llm.shared import new_path, stored
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -123,9 +123,14 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has no equal with a larger id; all columns as they were.
+    """Of rows with equal texts the one with the largest id; all columns as they were.
 
-    Rows are dropped by their id, so those without one stay.
+    A row is dropped, never an id: others that share its id with another text stay.  Of
+    equal rows, and of equal texts of which none has an id, one stays.
     """
-    dropped = exact_groups(docs, id_col, text_col).filter("NOT kept").select(id_col)
-    return without(docs, id_col, dropped)
+    groups = exact_groups(docs, id_col, text_col).filter("group_size > 1")
+    pairs = stored(groups.groupBy(F.col(id_col).alias("_id"), "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.first("kept").alias("kept")), "copies")
+    digest = sha256(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))))
+    return drop_rows(docs, id_col, digest, pairs.filter("NOT kept").select("_id", "digest"),
+                     pairs.filter("kept AND n > 1").select("_id", "digest"))

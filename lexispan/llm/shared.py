@@ -2,61 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from lexispan.sources.scratch import forget, new_path, shared_folder, stored
 
-from pyspark.sql import DataFrame, SparkSession
-
-from lexispan.session import ship_package
-
-_own_folders: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or one made here if none is set.
-
-    A folder of the driver's machine is only made where the setting is missing,
-    which is the case in local runs.
-    """
-    context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="shared-")
-    return _own_folders[context.applicationId]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nobody uses yet; removed when the driver ends."""
-    ship_package(spark)
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop_path, system = _located(spark, path)
-    system.deleteOnExit(hadoop_path)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    It cuts the lineage: a lost executor costs no earlier stage again.
-    """
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    table.stored_at = path
-    return table
-
-
-def forget(*tables: DataFrame) -> None:
-    """Delete stored tables that nothing reads any more."""
-    for table in tables:
-        hadoop_path, system = _located(table.sparkSession, table.stored_at)
-        system.delete(hadoop_path, True)
-
-
-def _located(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    )
+__all__ = ["forget", "new_path", "shared_folder", "stored"]

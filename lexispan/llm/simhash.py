@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexispan.llm.columns import drop_rows
 from lexispan.llm.components import components
 from lexispan.llm.shared import stored
 from lexispan.llm.words import as_bytes
@@ -53,26 +54,6 @@ class BKTree:
         self.children.append({})
         return len(self.values) - 1
 
-    def nearest(self, value: int, radius: int, k: int, fits) -> list[tuple[int, int]]:
-        """Up to ``k`` of ``(distance, node)``, nearest first, among the nodes that ``fits`` accepts.
-
-        The radius shrinks to the k-th distance found so far.
-        """
-        best: list[tuple[int, int]] = []
-        todo = [0] if self.values else []
-        while todo:
-            at = todo.pop()
-            d = (value ^ self.values[at]).bit_count()
-            if d <= radius and fits(at):
-                best.append((d, at))
-                best.sort()
-                del best[k:]
-                if len(best) == k:
-                    radius = best[-1][0]
-            todo.extend(
-                below for e, below in self.children[at].items() if d - radius <= e <= d + radius)
-        return best
-
     def within(self, value: int, radius: int) -> Iterator[tuple[int, int]]:
         """``(distance, node)`` of the nodes at most ``radius`` away."""
         todo = [0] if self.values else []
@@ -239,5 +220,24 @@ def near_duplicates(
         id_col, "fp", "component")
 
 
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
+) -> DataFrame:
+    """One row of each component of ``near_duplicates``: the smallest id; all columns as they were.
+
+    A row is known by its id and text, so others that share its id stay; ids may repeat or
+    be null, which counts as smallest.  Of equal texts with one id one row stays.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"),
+                        F.col(text_col).alias("_text"))
+    found = near_duplicates(keyed, "_key", "_text", shingle, radius)
+    rows = stored(found.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("n"), F.first("component").alias("component")).filter(
+        "n > 1 OR NOT _key <=> component").select("_key.*", "n", (F.col("_key") == F.col("component")).alias("kept")), "near-rows")
+    return drop_rows(docs, id_col, digest, rows.filter("NOT kept").select("id", "digest"),
+                     rows.filter("kept").select("id", "digest"))
+
+
 def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

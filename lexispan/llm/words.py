@@ -92,9 +92,6 @@ class Words:
         raw = (total[self.ends] - total[self.starts]) * down[self.starts]
         return mix(raw ^ (self.ends - self.starts).astype(np.uint64))
 
-    def bytes_of(self, i: int) -> bytes:
-        return self.data[self.starts[i]: self.ends[i]].tobytes()
-
 
 def grams(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``n`` consecutive words from each position on, and which of them lie in one text."""

@@ -10,6 +10,7 @@ import pytest
 import corpus_pipeline
 from lexispan.llm.decontaminate import Items, alignment, contamination, drop_contaminated
 from lexispan.llm.mixing import mix_sources
+from lexispan.llm.simhash import fingerprint
 from lexispan.llm.toxicity import Model, drop_toxic, fit, fold, score_texts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -178,11 +179,11 @@ def test_pipeline(spark, tmp_path, prose):
     item = " ".join(f"item{k}" for k in range(30))
     clean = [i for i, toxic, _ in labels if not toxic]
     texts = {i: t for i, t, _ in rows}
-    near = texts[clean[3]].split()
-    near[5] = "edited"
+    near = texts[clean[3]].split() + ["edited"]
     rows += [
         (1001, texts[clean[1]].upper(), "s0"), (1002, " ".join(near), "s1"),
         (1003, texts[clean[2]][:40] + " " + item + " tail", "s2"), (1004, None, None), (1005, "", "s1"),
+        (clean[5], "another text of an id that stands there twice", "s1"), (clean[6], texts[clean[6]], "s2"),
     ]
     docs = documents(spark, rows).coalesce(2)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -194,9 +195,12 @@ def test_pipeline(spark, tmp_path, prose):
         assert after.columns == docs.columns, k
         docs = after
     toxic = {i for i, t, _ in labels if t}
-    want = {i for i, _, _ in rows} - toxic - {clean[1], 1002, 1003, 1004}
-    assert {r.doc_id for r in docs.collect()} == want
-    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == want
+    prints = [fingerprint(texts.get(i, " ".join(near)).encode(), 3) for i in (clean[3], 1002)]
+    assert (prints[0] ^ prints[1]).bit_count() <= 3
+    left = sorted([i for i, _, _ in rows if i not in toxic and i not in (clean[1], 1002, 1003, 1004, clean[6])] + [clean[6]])
+    assert sorted(r.doc_id for r in docs.collect()) == left
+    mixed = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "epoch").collect()
+    assert {r.doc_id for r in mixed} == set(left)
 
 
 def test_stages_take_an_empty_table(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Exact, near and substring deduplication on small hand-made tables."""
 
+import hashlib
 import random
 
 import pytest
@@ -7,8 +8,7 @@ from pyspark.sql import functions as F
 
 from lexispan.llm.components import components
 from lexispan.llm.exact_dedup import drop_copies, exact_groups
-from lexispan.llm.near_copies import drop_near_copies, near_copies, near_links
-from lexispan.llm.simhash import BKTree, fingerprint_links, near_duplicates
+from lexispan.llm.simhash import BKTree, drop_near_duplicates, fingerprint, fingerprint_links, near_duplicates
 from lexispan.llm.substring_dedup import lengths, remove_repeats
 
 SCHEMA = "doc_id long, text string, dropped int, _doc string, digest string, keep_id int"
@@ -38,7 +38,7 @@ def test_exact_of_empty_table_and_filter(spark):
     assert exact_groups(table(spark, [])).collect() == []
     kept = drop_copies(table(spark, ROWS))
     assert kept.columns == table(spark, []).columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 4, 6, 8, 9, 9]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [2, 3, 4, 6, 8, 9]
 
 
 def brute_removal(rows, window):
@@ -99,8 +99,6 @@ def test_bk_tree_finds_all_within_the_radius():
         for radius in (0, 3, 10):
             got = sorted(tree.values[n] for _, n in tree.within(query, radius))
             assert got == sorted(v for v in values if (v ^ query).bit_count() <= radius)
-        near = tree.nearest(query, 64, 3, lambda n: tree.values[n] != query)
-        assert [d for d, _ in near] == sorted((v ^ query).bit_count() for v in values if v != query)[:3]
 
 
 def brute_components(values, radius):
@@ -151,108 +149,58 @@ def test_near_duplicates_edge_rows(spark):
     assert near_duplicates(table(spark, [])).collect() == []
 
 
-def edited(rng, words, share):
-    return [w if rng.random() > share else f"new{rng.randrange(10**6)}" for w in words]
-
-
-def jaccard(a, b):
-    def shingles(t):
-        w = t.lower().split()
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
-    x, y = shingles(a), shingles(b)
-    return len(x & y) / len(x | y)
-
-
-@pytest.mark.parametrize("tree_size", [30, 2000])
-def test_near_copies(spark, tree_size):
-    rng = random.Random(8)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    rows, number = [], 0
-    for _ in range(25):
-        base = rng.choices(vocabulary, k=rng.randrange(60, 300))
-        for share in [0, *[rng.choice([0.005, 0.01, 0.03, 0.3]) for _ in range(rng.choice([1, 2, 12]))]]:
-            rows.append((number, " ".join(edited(rng, base, share))))
-            number += 1
-    crowd = rng.choices(vocabulary, k=250)
-    rows += [(number + i, " ".join(edited(rng, crowd, 0.004))) for i in range(80)]
-    rows += [(9000, None), (9001, ""), (9002, "a"), (9003, "A"), (None, rows[0][1])]
-    texts = {i: t for i, t in rows if i is not None and t}
-    links = [(a, b) for a in texts for b in texts if a < b and jaccard(texts[a], texts[b]) >= 0.8]
-    least = {i: i for i in texts}
-    for _ in range(len(texts)):
-        before = dict(least)
-        for a, b in links:
-            least[a] = least[b] = min(least[a], least[b])
-        if before == least:
-            break
-    want = {i: r for i, r in least.items() if any(i in pair for pair in links)}
-    got = {r.doc_id: r.keep_id for r in near_copies(table(spark, rows), tree_size=tree_size).collect()}
-    assert got == want
-    kept = drop_near_copies(table(spark, rows), tree_size=tree_size)
-    assert kept.columns == table(spark, []).columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, r in want.items() if i != r}
-    assert near_copies(table(spark, [])).collect() == []
-
-
-def linked_groups(texts):
-    """The least id of each group, by brute force over the shingle sets."""
-    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, t in texts for w in [t.split()]}
-    least, todo = {}, sorted(sets)
-    for start in todo:
-        if start not in least:
-            least[start], queue = start, [start]
-            while queue:
-                x = sets[queue.pop()]
-                for j in todo:
-                    if j not in least and len(x & sets[j]) >= 0.8 * len(x | sets[j]):
-                        least[j] = start
-                        queue.append(j)
-    counts = {}
-    for root in least.values():
-        counts[root] = counts.get(root, 0) + 1
-    return {i: root for i, root in least.items() if counts[root] > 1}
-
-
-def replaced(rng, words, places):
+def edited(rng, words, edits):
     words = list(words)
-    for k in places:
-        words[k] = f"new{rng.randrange(10**9)}"
-    return words
-
-
-def star_rows(rng, edits=200, first=0):
-    """Texts at 0.8-0.85 to their base, most of them below 0.8 to one another; the base has the last id."""
-    base = [f"s{first}w{i}" for i in range(404)]
-    rows = [(first + i, " ".join(replaced(rng, base, rng.sample(range(10, 390, 5), rng.randrange(7, 9)))))
-            for i in range(edits)]
-    return [*rows, (first + edits, " ".join(base))]
-
-
-def test_near_copies_of_a_star_and_among_boilerplate(spark):
-    rng = random.Random(3)
-    rows = star_rows(rng)
-    shared = [f"b{i}" for i in range(300)]
-    for i in range(120):  # 70 % boilerplate each, some with a partner at about 0.85
-        words = shared + [f"own{i}x{k}" for k in range(100)]
-        rows.append((1000 + i, " ".join(words)))
-        if i % 6 == 0:
-            rows.append((2000 + i, " ".join(replaced(rng, words, rng.sample(range(305, 395, 6), 7)))))
-    got = {r.doc_id: r.keep_id for r in near_copies(table(spark, rows)).collect()}
-    assert got == linked_groups(rows)
-    assert all(got[i] == 0 for i in range(201)) and all(got[2000 + i] == 1000 + i for i in range(0, 120, 6))
-
-
-def test_near_copies_in_shards_that_are_too_large(spark):
-    """Every text has the same keys, so that pairs of it meet in no other shard."""
-    rng = random.Random(4)
-    rows = star_rows(rng, edits=90)
-    for i in range(60):  # pairs below 0.8 to the rest
-        words = [f"p{i}w{k}" for k in range(200)]
-        rows += [(1000 + i, " ".join(words)), (2000 + i, " ".join(replaced(rng, words, [50, 90])))]
-    docs = table(spark, rows)
-    named = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    sketches = spark.createDataFrame(
-        [(i, len(t.split()) - 4, i, [7]) for i, t in rows], "id long, n int, content long, keys array<long>")
-    for tree_size in (20, 64, 150):
-        links = near_links(named, sketches, 5, 0.8, tree_size)
-        assert {r.node: r.component for r in components(links).collect()} == linked_groups(rows)
+    for k in rng.sample(range(len(words)), edits):
+        words[k] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def brute_near_rows(rows):
+    """Which (id, text) stay: the smallest of each component of the texts' fingerprints."""
+    keys = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).digest()))
+    prints = [fingerprint((t or "").encode(), 3) for _, t in keys]
+    root = list(range(len(keys)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(keys)):
+            for b in range(a):
+                if (prints[a] ^ prints[b]).bit_count() <= 3 and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    return [key for k, key in enumerate(keys) if root[k] == k]
+
+
+def repeated_rows(rng):
+    vocabulary = [f"w{i}" for i in range(500)]
+    rows = []
+    for i in range(20):
+        base = rng.choices(vocabulary, k=rng.randrange(200, 500))
+        rows += [(rng.randrange(60), edited(rng, base, rng.choice([0, 1, 2, 30]))) for _ in range(rng.choice([1, 2, 6]))]
+    rows += [(i, t) for i, t in rows[:9]] + [(7, t) for _, t in rows[9:14]] + [(None, rows[0][1]), (None, rows[0][1])]
+    return rows + [(5, "dup"), (9, "dup"), (5, "only here"), (7, "x y"), (7, "x y"), (None, ""), (3, None), (2, " "), (None, "lone")]
+
+
+def test_near_duplicates_are_dropped_by_row(spark):
+    rows = repeated_rows(random.Random(8))
+    kept = drop_near_duplicates(table(spark, rows).repartition(3))
+    assert kept.columns == table(spark, []).columns
+    found = [(r.doc_id, hashlib.sha256((r.text or "").encode()).digest()) for r in kept.collect()]
+    assert sorted(found, key=repr) == sorted(
+        ((i, hashlib.sha256((t or "").encode()).digest()) for i, t in brute_near_rows(
+            [(i, t or "") for i, t in rows])), key=repr)
+    assert drop_near_duplicates(table(spark, [])).collect() == []
+
+
+def test_copies_are_dropped_by_row(spark):
+    rows = repeated_rows(random.Random(9)) + [(4, "Dup"), (9, "DUP"), (None, "Nameless"), (None, "nameless")]
+    best = {}
+    for i, t in rows:
+        text = "".join(c.lower() if c.isascii() else c for c in t or "")
+        best[text] = max(best.get(text, -1), -1 if i is None else i)
+    kept = drop_copies(table(spark, rows).repartition(3))
+    assert kept.columns == table(spark, []).columns
+    found = [("".join(c.lower() if c.isascii() else c for c in r.text or ""), -1 if r.doc_id is None else r.doc_id)
+             for r in kept.collect()]
+    assert sorted(found) == sorted(best.items())
