@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lexispan.llm.decontaminate import drop_contaminated
 from lexispan.llm.exact_dedup import drop_copies
 from lexispan.llm.mixing import mix_sources
-from lexispan.llm.near_copies import drop_near_copies
-from lexispan.llm.shared import stored
+from lexispan.llm.shared import forget, stored
+from lexispan.llm.simhash import drop_near_duplicates
 from lexispan.llm.toxicity import drop_toxic, fit
 from lexispan.session import ship_package
 
@@ -25,9 +25,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """Of documents whose fingerprints are linked within 3 bits, three-word shingles, the smallest id."""
     ship_package(spark)
-    return drop_near_copies(docs)
+    return drop_near_duplicates(docs, shingle=3, radius=3)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +56,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        forget(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
