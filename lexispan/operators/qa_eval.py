@@ -7,6 +7,8 @@ number, such as a raw logit.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -91,6 +93,21 @@ def _long(row: DataFrame, names: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
 
 
+def summary_by(scores: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``(slice, keys.., total, exact, f1)``: the summary of any slices, in one aggregate.
+
+    Each of ``sets`` names the columns that cut one way of slicing, none for all questions;
+    keys that a row's slicing leaves out are null, and ``slice`` names those it has, joined
+    by ``+``.  A null in a key column is a value like any other.
+    """
+    keys = list(dict.fromkeys(key for keys in sets for key in keys))
+    means = [(100 * F.avg(F.col(name).cast(SCORE_TYPE)).cast("double")).alias(name) for name in ("exact", "f1")]
+    cut = scores.groupingSets([[F.col(k) for k in chosen] for chosen in sets], *[F.col(k) for k in keys]).agg(
+        F.array_join(F.array(*[F.when(F.grouping(k) == 0, k) for k in keys]), "+").alias("slice"),
+        F.count(F.lit(1)).alias("total"), *means)
+    return cut.select("slice", *keys, "total", "exact", "f1").filter("total > 0")
+
+
 def summary(scores: DataFrame) -> DataFrame:
     """``(metric, value)``: mean scores times 100 and totals, in one aggregate.
 

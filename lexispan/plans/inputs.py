@@ -22,7 +22,8 @@ STRIDE = 128
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return scan(spark, f"{sf_dir}/documents.parquet", *columns)
+    whole_texts = "text" in columns or not columns
+    return scan(spark, f"{sf_dir}/documents.parquet", *columns, spread_by="doc_id" if whole_texts else None)
 
 
 def news_label() -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, parse_list, words
 from lexispan.operators import features, models, pooling, sampling
+from lexispan.operators.heavy_terms import top_vocabulary
 from lexispan.operators.joint_fits import LinearModel, Svm, fit_jointly
 from lexispan.operators.lookup import changed_lemmas, drop_tokens, tagged_ngrams, tokens_by
 from lexispan.operators.metrics import binary_report, to_classes, to_signs
@@ -135,6 +136,12 @@ def trigram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vocabulary(tokens, ngrams(F.col("tokens"), 3), NGRAM_TERMS)
 
 
+def trigram_vocab_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``trigram_vocab``, from bounded counters of each task and an exact count of what they leave open."""
+    tokens = _kept_tokens(spark, sf_dir).select(ngrams(F.col("tokens"), 3).alias("terms"))
+    return top_vocabulary(tokens, "terms", NGRAM_TERMS)
+
+
 def ngram_range_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = inputs.news_tokens(spark, sf_dir)
     return _vocabulary(tokens, ngram_range(F.col("tokens"), 1, 3), REVIEW_TERMS)
@@ -314,8 +321,8 @@ def _report(model: LinearModel, train: DataFrame, test: DataFrame) -> DataFrame:
                          F.lit(model.objective).alias("primal"), F.lit(model.bound).alias("dual"))
 
 
-def _ngram_split(spark: SparkSession, sf_dir: str, terms) -> tuple[DataFrame, DataFrame]:
-    return tuple(part.select("doc_id", "label", terms.alias("terms")) for part in _labelled_split(spark, sf_dir))
+def _ngrams_of(split: tuple[DataFrame, DataFrame], terms) -> tuple[DataFrame, DataFrame]:
+    return tuple(part.select("doc_id", "label", terms.alias("terms")) for part in split)
 
 
 def _count_vectors(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -324,7 +331,7 @@ def _count_vectors(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def _ngram_svm(spark: SparkSession, sf_dir: str, terms) -> DataFrame:
-    return _count_svm(*_ngram_split(spark, sf_dir, terms))
+    return _count_svm(*_ngrams_of(_labelled_split(spark, sf_dir), terms))
 
 
 def _count_svm(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -337,11 +344,12 @@ def svm_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The objective is computed again from the weights and the rows, apart from the fit.
     """
-    train, _ = _labelled_split(spark, sf_dir)
+    split = _labelled_split(spark, sf_dir)
+    train = split[0]
     tfidf = features.TfidfModel.fit(train, "tokens", TFIDF_TERMS)
     tables = {"tfidf": tfidf.vectors(train, "tokens", "features").select("doc_id", "label", "features")}
     for n, name in ((2, "bigram"), (3, "trigram")):
-        tables[name], _ = _count_vectors(*_ngram_split(spark, sf_dir, ngrams(F.col("tokens"), n)))
+        tables[name], _ = _count_vectors(*_ngrams_of(split, ngrams(F.col("tokens"), n)))
     tables["pos_bigram"], _ = _count_vectors(*_tagged_split(spark, sf_dir))
     learnt = fit_jointly({name: (table, Svm(SVM_PENALTY)) for name, table in tables.items()}, tolerance=SVM_GAP)
     parts = []
@@ -418,7 +426,7 @@ QUERIES = {f.__name__: f for f in [
     stop_words_by_table, stop_words_by_table_joined, own_tokeniser, lemma_exceptions,
     svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
     pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
-    logreg_closed_form, svm_certificates,
+    logreg_closed_form, svm_certificates, trigram_vocab_bounded,
 ]}
 
 _COUNTS = f"""WITH {sql.CLEAN},
@@ -499,6 +507,7 @@ SELECT doc_id, array_to_string(tokens, ' ') AS clean_text FROM clean""",
 SELECT word AS token, lemma FROM lemmas""",
     "bigram_vocab": _vocab_sql(2, 2, NGRAM_TERMS),
     "trigram_vocab": _vocab_sql(3, 3, NGRAM_TERMS),
+    "trigram_vocab_bounded": _vocab_sql(3, 3, NGRAM_TERMS),
     "ngram_range_vocab": _vocab_sql(1, 3, REVIEW_TERMS),
     "pos_bigram_vocab": f"""{_TAGGED}, {sql.vocabulary('listed', 'terms', NGRAM_TERMS)}
 SELECT idx, term, cnt FROM vocab""",

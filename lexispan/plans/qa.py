@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexispan.functions.answers import answer_tokens as tokens_of_answer
 from lexispan.functions.answers import normalize_answer as normal_form
+from lexispan.functions import tables
 from lexispan.functions.arrays import attention_mask, pad_or_cut
 from lexispan.operators import qa_eval, qa_select, qa_windows
 from lexispan.plans import inputs, sql
@@ -107,6 +108,26 @@ def qa_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(qa_eval.summary(scores))
 
 
+def qa_eval_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of all questions, by answerability, by title, and by both."""
+    titles = inputs.qa_examples(spark, sf_dir).select(
+        F.col("id").cast("bigint").alias("qid"), F.coalesce("title", F.lit("default")).alias("title"))
+    scores = qa_eval.threshold_scores(_scored(spark, sf_dir), THRESHOLD).join(titles, "qid")
+    cut = qa_eval.summary_by(scores, [[], ["has_ans"], ["title"], ["has_ans", "title"]])
+    return cut.select("slice", "has_ans", "title", "total", _six("exact"), _six("f1"))
+
+
+def packed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a source and thousand put end to end and cut into windows of 512 words, by SQL."""
+    tables.register(spark)
+    words = inputs.documents(spark, sf_dir, "doc_id", "source", "text").select(
+        "doc_id", "source", F.floor(F.col("doc_id") / 1000).alias("part"),
+        F.size(F.split(F.coalesce("text", F.lit("")), " ")).alias("n_words"))
+    return spark.sql("""SELECT * FROM pack_words(
+        TABLE(SELECT * FROM {words}) PARTITION BY (source, part) ORDER BY (doc_id),
+        'source,part', 'doc_id', 'n_words', 512)""", words=words)
+
+
 def qa_answerable_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of the answerable questions alone, without no-answer scores."""
     gold = qa_eval.with_has_ans(inputs.qa_gold(spark, sf_dir)).filter("has_ans")
@@ -219,7 +240,7 @@ def span_no_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     normalize_answer, answer_tokens, qa_flatten, qa_nest, qa_answerable, qa_raw_scores,
-    qa_missing_predictions, qa_threshold_scores, qa_eval_summary, qa_answerable_summary,
+    qa_missing_predictions, qa_threshold_scores, qa_eval_slices, packed_words, qa_eval_summary, qa_answerable_summary,
     qa_pr_curve, qa_pr_ap, qa_best_threshold, qa_na_histogram, qa_evaluate, token_offsets,
     context_windows, answer_alignment, eval_features, pad_truncate, span_best_window,
     span_last_window, span_no_answer,
@@ -342,6 +363,22 @@ SELECT qid FROM gold WHERE qid NOT IN (SELECT qid FROM preds)""",
 SELECT qid, has_ans, round(na_prob, 6) AS na_prob, round(exact, 6) AS exact, round(f1, 6) AS f1
 FROM final""",
     "qa_eval_summary": _rounded_metrics(_THRESHOLDED, _SUMMARY),
+    "qa_eval_slices": f"""WITH {_THRESHOLDED},
+titled AS (
+  SELECT f.*, coalesce(CASE WHEN qid % 7 <> 0 THEN source END, 'default') AS title
+  FROM final f JOIN documents d ON f.qid = d.doc_id)
+SELECT concat_ws('+', CASE WHEN grouping(has_ans) = 0 THEN 'has_ans' END,
+                 CASE WHEN grouping(title) = 0 THEN 'title' END) AS slice,
+       has_ans, title, count(*) AS total, round(100 * avg(exact), 6) AS exact, round(100 * avg(f1), 6) AS f1
+FROM titled GROUP BY GROUPING SETS ((), (has_ans), (title), (has_ans, title))""",
+    "packed_words": """WITH w AS (
+  SELECT doc_id, source, doc_id // 1000 AS part, len(string_split(coalesce(text, ''), ' ')) AS n FROM documents),
+s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY source, part ORDER BY doc_id) AS BIGINT) AS stop FROM w),
+u AS (
+  SELECT source, part, doc_id, unnest(range((stop - n) // 512, (stop - 1) // 512 + 1)) AS number, stop - n AS start, stop FROM s)
+SELECT source, part, CAST(number AS BIGINT) AS number, min(doc_id) AS first_row, max(doc_id) AS last_row,
+       CAST(sum(least(stop, 512 * (number + 1)) - greatest(start, 512 * number)) AS BIGINT) AS filled
+FROM u GROUP BY source, part, number""",
     "qa_answerable_summary": _rounded_metrics(
         sql.SCORES,
         _summary_sql("(SELECT * FROM scores WHERE has_ans) s",

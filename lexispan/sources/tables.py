@@ -5,15 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexispan.sources.scratch import located
 
-def scan(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Read the given columns of a Parquet table as it lies.
 
-    Splits follow the row groups and ``spark.sql.files.maxPartitionBytes``.
+#: A table of more bytes per core is read as it lies: it has splits enough.
+MAX_SPREAD_BYTES = 128 << 20
+
+_crowded: dict[tuple, bool] = {}
+
+
+def scan(spark: SparkSession, path: str, *columns: str, spread_by: str | None = None) -> DataFrame:
+    """Read the given columns of a Parquet table.
+
+    Splits follow the row groups and ``spark.sql.files.maxPartitionBytes``.  With
+    ``spread_by`` the rows of a small table, most of which lie in one row group, are dealt
+    to all cores by that column; a larger table is never shuffled for it.
     """
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    wanted = df.select(*columns) if columns else df
+    if spread_by is None or not _lies_crowded(spark, df, path):
+        return wanted
+    return wanted.repartition(spark.sparkContext.defaultParallelism, spread_by)
+
+
+def _lies_crowded(spark: SparkSession, df: DataFrame, path: str) -> bool:
+    """Whether one split has over twice its share of the rows of a small table.
+
+    Neither files nor splits tell where the rows are, but a count per split does, and
+    reads nothing but the footers of the files.
+    """
+    hadoop_path, system = located(spark, path)
+    size, cores = system.getContentSummary(hadoop_path).getLength(), spark.sparkContext.defaultParallelism
+    if cores < 2 or size > cores * MAX_SPREAD_BYTES:
+        return False
+    key = spark.sparkContext.applicationId, path, size, system.getFileStatus(hadoop_path).getModificationTime()
+    if key not in _crowded:
+        split = df.select("_metadata.file_path", "_metadata.file_block_start")
+        most, rows = split.groupBy("file_path", "file_block_start").count().agg(
+            F.max("count"), F.sum("count")).first()
+        _crowded[key] = bool(rows) and most * cores > 2 * rows
+    return _crowded[key]
 
 
 def materialised(
@@ -24,9 +57,7 @@ def materialised(
     ``path`` lies on storage that all executors share.  A half-written table, one
     without its success marker, is written anew.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    marker = hadoop.Path(path, "_SUCCESS")
-    system = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    marker, system = located(spark, f"{path}/_SUCCESS")
     if not system.exists(marker):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

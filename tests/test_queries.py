@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from comparison import difference, oracle_connection
 
 from __spark_entry__ import entry, oracle_sql, queries
 from lexispan.plans.catalogue import ORACLES, QUERIES
+from lexispan.sources import tables
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES))
@@ -34,10 +36,26 @@ def test_only_learned_models_lack_sql():
 
 
 @pytest.mark.parametrize("name", ["top_words_per_corpus", "clean_text", "token_offsets", "qa_raw_scores"])
-def test_documents_are_read_as_they_lie(spark, name):
+def test_large_tables_are_read_as_they_lie(spark, monkeypatch, name):
+    spread = queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "RepartitionByExpression [doc_id" in spread or "Repartition" in spread
+    monkeypatch.setattr(tables, "MAX_SPREAD_BYTES", 0)
     plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "REPARTITION" not in plan
 
 
+def test_rows_are_spread_where_one_split_has_most(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.repartition(spark.sparkContext.defaultParallelism).write.parquet(str(tmp_path / "many"))
+    one = tables.scan(spark, str(tmp_path / "one"), "doc_id", spread_by="doc_id")
+    many = tables.scan(spark, str(tmp_path / "many"), "doc_id", spread_by="doc_id")
+    assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "REPARTITION" not in many._jdf.queryExecution().toString()
+    assert sorted(r.doc_id for r in one.collect()) == list(range(1000))
+    spark.range(0).select(F.col("id").alias("doc_id")).write.parquet(str(tmp_path / "none"))
+    assert tables.scan(spark, str(tmp_path / "none"), spread_by="doc_id").collect() == []
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["label", "rank", "word", "cnt"]
