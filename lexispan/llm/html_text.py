@@ -50,6 +50,8 @@ STATE = re.compile(
     r"(?:^|[_-])(?:no|has|with|without|open|closed|enabled|disabled|on|off)(?=$|[_-])")
 HEADER = re.compile(r"(?:^|\s)(?:header|top-?bar|site-?title)(?=$|\s)")
 SIGMA = 1.0
+#: Elements nested deeper lie side by side at this depth, as in browsers; so a page takes linear time.
+MAX_DEPTH = 512
 
 
 class _Page(HTMLParser):
@@ -62,10 +64,17 @@ class _Page(HTMLParser):
         self.marked: dict[int, tuple[int, ...]] = {}  # outermost main elements or articles and their paths
         self.stack: list[tuple[str, bool, bool]] = []  # tag, silent, a container was opened
         self.path: list[int] = []
+        self.deep: Counter[str] = Counter()  # open elements beyond the depth
         self.silent = 0
         self.parts: list[str] = []
         self.tags = 0
 
+    def parse_marked_section(self, i, report=1) -> int:
+        """A section ``<![..`` is a comment: one of character data up to its end, any other up to ``>``."""
+        end = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        found = self.rawdata.find(end, i)
+        return found + len(end) if found >= 0 else -1
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
@@ -82,6 +91,10 @@ class _Page(HTMLParser):
             self.flush()
             if tag in ("p", "li", "dt", "dd", "td", "th", "tr"):
                 self._close_implied(tag)
+        if len(self.stack) >= MAX_DEPTH and tag not in SILENT:
+            self.deep[tag] += 1
+            self.tags += not self.silent
+            return
         quiet = tag in SILENT or self._noise(tag, named)
         container = tag in CONTAINERS
         if container:
@@ -148,6 +161,11 @@ class _Page(HTMLParser):
             self._void(tag)
             return
         self.tags += not self.silent
+        if self.deep[tag]:
+            self.deep[tag] -= 1
+            if tag in BLOCKS:
+                self.flush()
+            return
         for depth in range(len(self.stack) - 1, -1, -1):
             open_tag = self.stack[depth][0]
             if open_tag == tag:
@@ -265,7 +283,11 @@ def _run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html"
 ) -> DataFrame:
-    """``(page_id, url, text, n_chars)`` per row of ``pages``; null html gives ''."""
+    """``(page_id, url, text, n_chars)`` per row of ``pages``; null html gives ''.
+
+    Rows that repeat an id or a page each give a row, an empty table none; other columns
+    are not read.  Whatever is no well-formed markup is read as browsers do or left out.
+    """
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()

@@ -27,6 +27,8 @@ MAX_FILE_BYTES = 1 << 30
 MAX_READ_BYTES = 8 << 20
 MAX_GAP_BYTES = 64 << 10
 CHUNK_BYTES = 16 << 20
+#: Bytes of archives that one task reads.
+TASK_BYTES = 64 << 20
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = ("page_id long, url string, record_type string, digest string, file string, "
@@ -215,13 +217,16 @@ def read_archives(
     """The records of the index rows for which ``wanted`` holds, all by default.
 
     Index rows go to tasks by stretches of a file and are read in the order of their
-    places, neighbours in one read.  ``payload`` is null for revisits, and for all
+    places, neighbours in one read.  The number of tasks follows the bytes to be read, not
+    the size of the index, and is at least that of the cores.  ``payload`` is null for revisits, and for all
     records where it is not asked for; digests of responses are checked in any case.
     """
     chosen = index if wanted is None else index.filter(wanted)
     stretch = F.floor(F.col("offset") / CHUNK_BYTES)
+    total = chosen.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
     places = chosen.select("file", "offset", "length", stretch.alias("stretch")).repartition(
-        "file", "stretch").sortWithinPartitions("file", "offset")
+        tasks, "file", "stretch").sortWithinPartitions("file", "offset")
     return places.mapInArrow(_reader(folder, payload), RECORD)
 
 

@@ -1,8 +1,10 @@
 """WARC archives, URL filters and main text of pages."""
 
 import hashlib
+import time
 
 import duckdb
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +196,34 @@ SPLIT = {
 def test_articles_of_several_parts_are_whole(parts):
     page = f"<html><head><title>T</title></head><body>{AROUND.format(parts)}</body></html>"
     assert extract(page) == SPLIT[parts]
+
+
+@pytest.mark.parametrize("broken", [
+    "<![foo[x]]>", "<![if !IE]>", "<![endif]>", "<!ELEMENT br EMPTY>", "<![CDATA[ <p>no</p> ]]>", "<![", "<!-", "<?php x ?>",
+    "<!DOCTYPE html [<!ENTITY a 'b'>]>", "</>", "<a <b>", "&#xFFFFFFF;", "<![CDATA[",
+])
+def test_no_declaration_ends_the_job(broken):
+    page = f"<article><p>First paragraph of the text.</p>{broken}<p>Second paragraph of the text.</p></article>"
+    assert extract(page).startswith("First paragraph of the text.")
+    extract(broken)
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<b>", "<p><i>", "<ul><li>", "<table><tr><td>"])
+def test_deep_pages_take_linear_time(tag):
+    start = time.perf_counter()
+    text = extract(tag * (300_000 // len(tag)) + "<p>The end of a deep page.</p>")
+    assert "The end of a deep page." in text and time.perf_counter() - start < 30
+
+
+def test_reading_tasks_follow_the_bytes(spark, monkeypatch):
+    from lexispan.llm import warc
+    from lexispan.llm.shared import new_path
+
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"{i} " * 900) for i in range(300)], "page_id long, url string, html string")
+    folder = new_path(spark, "archives")
+    index = warc.write_archives(pages.repartition(4), folder)
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 3000)
+    read = warc.read_archives(index, folder)
+    assert read.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert sorted(r.page_id for r in read.select("page_id").collect()) == list(range(300))
