@@ -37,11 +37,14 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("label", news_label())
 
 
+def words_of_news(docs: DataFrame) -> DataFrame:
+    """``(doc_id, label, tokens)`` of documents, row by row: words without stop words, not yet lemmatised."""
+    return docs.filter(F.col("text").isNotNull()).select(
+        "doc_id", news_label().alias("label"), content_words(F.col("text")).alias("tokens"))
+
+
 def news_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, label, tokens)``: words without stop words, not yet lemmatised."""
-    return news(spark, sf_dir).select(
-        "doc_id", "label", content_words(F.col("text")).alias("tokens")
-    )
+    return words_of_news(documents(spark, sf_dir, "doc_id", "text"))
 
 
 def own_lemmas(lexicon: DataFrame) -> DataFrame:

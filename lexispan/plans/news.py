@@ -20,6 +20,8 @@ from lexispan.operators.ranking import top_per_group
 from lexispan.operators.unnest import unnest
 from lexispan.plans import inputs, sql
 from lexispan.session import keep
+from lexispan.sources.scratch import new_path
+from lexispan.streaming.word_counts import count_new_files, current_counts
 
 TOP_WORDS = 100
 NGRAM_TERMS = 5000
@@ -30,13 +32,16 @@ REVIEW_TERMS = 1000
 
 
 def _counts_by_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(label, term, cnt)`` of lemmas.
+    return _lemma_counts(features.term_counts(inputs.news_words(spark, sf_dir), "tokens", ["label"]))
+
+
+def _lemma_counts(raw: DataFrame) -> DataFrame:
+    """``(label, term, cnt)`` of lemmas from that of words.
 
     Words are counted first and lemmatised afterwards, so the lemma join sees
     distinct words only.  The lexicon is read off the same counts; keeping the
     total in it lets Spark reuse their shuffle.
     """
-    raw = features.term_counts(inputs.news_words(spark, sf_dir), "tokens", ["label"])
     lexicon = (
         raw.groupBy("term").agg(F.sum("cnt").alias("total")).filter("total > 0")
         .select(F.col("term").alias("word"))
@@ -48,10 +53,22 @@ def _counts_by_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_words_per_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = top_per_group(
-        _counts_by_corpus(spark, sf_dir), ["label"], [F.desc("cnt"), F.col("term")],
-        TOP_WORDS,
-    )
+    return _top_words(_counts_by_corpus(spark, sf_dir))
+
+
+def top_words_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream: two deliveries of files, the second after a restart from the state."""
+    source, state = new_path(spark, "deliveries"), new_path(spark, "word-counts")
+    docs = inputs.documents(spark, sf_dir, "doc_id", "text")
+    halves = (F.col("doc_id") % 3 == 0).alias("first")
+    for first in (True, False):
+        docs.filter(halves if first else ~F.coalesce(halves, F.lit(False))).write.mode("append").parquet(source)
+        count_new_files(spark, source, "doc_id bigint, text string", state, inputs.words_of_news, files_per_batch=4)
+    return _top_words(_lemma_counts(current_counts(spark, state)))
+
+
+def _top_words(counts: DataFrame) -> DataFrame:
+    top = top_per_group(counts, ["label"], [F.desc("cnt"), F.col("term")], TOP_WORDS)
     return top.select("label", "rank", F.col("term").alias("word"), "cnt")
 
 
@@ -426,7 +443,7 @@ QUERIES = {f.__name__: f for f in [
     stop_words_by_table, stop_words_by_table_joined, own_tokeniser, lemma_exceptions,
     svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
     pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
-    logreg_closed_form, svm_certificates, trigram_vocab_bounded,
+    logreg_closed_form, svm_certificates, trigram_vocab_bounded, top_words_streamed,
 ]}
 
 _COUNTS = f"""WITH {sql.CLEAN},
@@ -493,11 +510,14 @@ def _vocab_sql(n_low: int, n_high: int, top_n: int) -> str:
 SELECT idx, term, cnt FROM vocab"""
 
 
-ORACLES = {
-    "top_words_per_corpus": f"""{_COUNTS}
+_TOP = f"""{_COUNTS}
 SELECT label, CAST(rank AS INTEGER) AS rank, term AS word, cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY cnt DESC, term) AS rank
-  FROM counts) WHERE rank <= {TOP_WORDS}""",
+  FROM counts) WHERE rank <= {TOP_WORDS}"""
+
+ORACLES = {
+    "top_words_per_corpus": _TOP,
+    "top_words_streamed": _TOP,
     "top_words_all": f"""{_COUNTS}
 SELECT term AS word, CAST(sum(cnt) AS BIGINT) AS cnt FROM counts
 GROUP BY term ORDER BY cnt DESC, word LIMIT {TOP_WORDS}""",

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.functions import tables
 from lexispan.functions.answers import answer_tokens as tokens_of_answer
 from lexispan.functions.answers import normalize_answer as normal_form
-from lexispan.functions import tables
 from lexispan.functions.arrays import attention_mask, pad_or_cut
 from lexispan.operators import qa_eval, qa_select, qa_windows
 from lexispan.plans import inputs, sql
 from lexispan.session import keep
 from lexispan.sources.qa import answerable, flatten_articles, nest_examples
+from lexispan.sources.scratch import new_path
+from lexispan.sources.tables import bucketed
 
 THRESHOLD = 1.0
+QA_BUCKETS = 32
 PADDED_LENGTH = 512
 
 
@@ -95,7 +98,10 @@ def qa_missing_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_threshold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = qa_eval.threshold_scores(_scored(spark, sf_dir), THRESHOLD)
+    return _threshold_columns(qa_eval.threshold_scores(_scored(spark, sf_dir), THRESHOLD))
+
+
+def _threshold_columns(scores: DataFrame) -> DataFrame:
     return scores.select("qid", "has_ans", _six("na_prob"), _six("exact"), _six("f1"))
 
 
@@ -108,6 +114,16 @@ def qa_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metric(qa_eval.summary(scores))
 
 
+def qa_bucketed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``qa_threshold_scores``, from stored tables that are joined as they lie."""
+    inputs_of = {"gold": inputs.qa_gold, "predictions": inputs.qa_predictions, "na_probs": inputs.qa_na_probs}
+    gold, predictions, na_probs = (
+        bucketed(make(spark, sf_dir), f"qa_{name}", "qid", QA_BUCKETS, new_path(spark, f"qa-{name}"))
+        for name, make in inputs_of.items())
+    scores = qa_eval.with_na_prob(qa_eval.raw_scores(gold, predictions), na_probs)
+    return _threshold_columns(qa_eval.threshold_scores(scores, THRESHOLD))
+
+
 def qa_eval_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of all questions, by answerability, by title, and by both."""
     titles = inputs.qa_examples(spark, sf_dir).select(
@@ -240,7 +256,7 @@ def span_no_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     normalize_answer, answer_tokens, qa_flatten, qa_nest, qa_answerable, qa_raw_scores,
-    qa_missing_predictions, qa_threshold_scores, qa_eval_slices, packed_words, qa_eval_summary, qa_answerable_summary,
+    qa_missing_predictions, qa_threshold_scores, qa_eval_slices, qa_bucketed_scores, packed_words, qa_eval_summary, qa_answerable_summary,
     qa_pr_curve, qa_pr_ap, qa_best_threshold, qa_na_histogram, qa_evaluate, token_offsets,
     context_windows, answer_alignment, eval_features, pad_truncate, span_best_window,
     span_last_window, span_no_answer,
@@ -361,6 +377,9 @@ SELECT qid, has_ans, exact, round(CAST(f1 AS DOUBLE), 6) AS f1 FROM scores""",
 SELECT qid FROM gold WHERE qid NOT IN (SELECT qid FROM preds)""",
     "qa_threshold_scores": f"""WITH {_THRESHOLDED}
 SELECT qid, has_ans, round(na_prob, 6) AS na_prob, round(exact, 6) AS exact, round(f1, 6) AS f1
+FROM final""",
+    "qa_bucketed_scores": f"""WITH {_THRESHOLDED}
+SELECT qid, has_ans, round(na_prob, 6) AS na_prob, round(exact, 6) AS exact, round(f1, 6) AS f1
 FROM final""",
     "qa_eval_summary": _rounded_metrics(_THRESHOLDED, _SUMMARY),
     "qa_eval_slices": f"""WITH {_THRESHOLDED},

@@ -61,3 +61,16 @@ def materialised(
     if not system.exists(marker):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store ``df`` as the table ``name``, cut into ``buckets`` by ``key`` and sorted by it.
+
+    Tables with the same key and number of buckets are joined, and grouped by the key,
+    without being shuffled again.  Rows are brought together by key before they are
+    written, so that each bucket is one file.  The table lies below the warehouse or at
+    ``path``, on storage that all executors share, and replaces one of that name.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
