@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispan.operators.models import map_batches
 from lexispan.plans import inputs, qa, sql
 from lexispan.sources import corpora
 from lexispan.sources import qa as qa_files
@@ -55,13 +56,45 @@ def prediction_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("qid").cast("bigint").alias("qid"), "text", F.round("na_prob", 6).alias("na_prob"))
 
 
-QUERIES = {f.__name__: f for f in [csv_news, csv_reviews, qa_document, prediction_map]}
+def qa_examples_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat examples written one JSON object per line, read back, the answerable ones."""
+    path = new_path(spark, "examples")
+    inputs.qa_examples(spark, sf_dir).write.json(path)
+    return qa_files.answerable(qa_files.read_examples(spark, path)).select(
+        "id", F.get("answers.text", F.lit(0)).alias("answer"))
+
+
+def metrics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation written as a metrics file and read back."""
+    path = new_path(spark, "metrics")
+    qa_files.write_metrics(qa.qa_eval_summary(spark, sf_dir), path)
+    return spark.read.schema("metric string, value double").json(path)
+
+
+def mapped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function on batches with an argument, which drops a column and gives a row per thousand characters."""
+    def cut(batch, size):
+        lengths = batch["text"].fillna("").str.len()
+        parts = batch.assign(n_chars=lengths, part=[list(range(max(1, -(-n // size)))) for n in lengths])
+        return parts.explode("part")[["doc_id", "part", "n_chars"]].astype("int64")
+
+    docs = inputs.documents(spark, sf_dir, "doc_id", "text", "source")
+    return map_batches(docs, cut, "doc_id bigint, part bigint, n_chars bigint", drop=["source"], size=1000)
+
+
+QUERIES = {f.__name__: f for f in [
+    csv_news, csv_reviews, qa_document, prediction_map, qa_examples_file, metrics_file, mapped_batches,
+]}
 
 ORACLES = {
     "csv_news": """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN -1 ELSE 1 END AS label, lang,
        CAST(length(nullif(text, '')) AS INTEGER) AS n_chars, md5(nullif(text, '')) AS text_md5 FROM documents""",
     "csv_reviews": f"""WITH {sql.REVIEWS}
 SELECT doc_id, score, label, md5(text) AS text_md5 FROM sentiment WHERE text <> ''""",
+    "qa_examples_file": qa.ORACLES["qa_answerable"],
+    "metrics_file": qa.ORACLES["qa_eval_summary"],
+    "mapped_batches": """WITH d AS (SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM documents)
+SELECT doc_id, unnest(range(greatest(1, (n_chars + 999) // 1000))) AS part, n_chars FROM d""",
     "qa_document": qa.ORACLES["qa_flatten"],
     "prediction_map": f"""WITH {sql.QA}
 SELECT n.qid, p.pred AS text, round(n.na_prob, 6) AS na_prob FROM na n LEFT JOIN preds p ON n.qid = p.qid""",
