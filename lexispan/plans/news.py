@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexispan.functions.stopwords import ENGLISH_STOP_WORDS
 from lexispan.functions.text import ngram_range, ngrams, parse_list, words
 from lexispan.operators import features, models, pooling, sampling
+from lexispan.operators.context_tags import fit_tags, tag_in_context
 from lexispan.operators.heavy_terms import top_vocabulary
 from lexispan.operators.joint_fits import LinearModel, Svm, fit_jointly
 from lexispan.operators.lookup import changed_lemmas, drop_tokens, tagged_ngrams, tokens_by
@@ -173,6 +174,22 @@ def pos_bigram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.vocabulary(tagged, "terms", NGRAM_TERMS)
 
 
+def tags_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of every sentence by a bigram model learnt from tags that depend on the word before."""
+    pieces = inputs.documents(spark, sf_dir, "doc_id", "text").select(
+        "doc_id", F.posexplode(F.split("text", "[.!?]+")).alias("sentence", "piece"))
+    rows = keep(pieces.select(
+        "doc_id", "sentence", F.concat_ws(":", "doc_id", "sentence").alias("key"), words(F.col("piece")).alias("tokens"),
+    ).filter(F.size("tokens") > 0))
+    flat = rows.select("key", F.posexplode("tokens").alias("pos", "token"), "tokens").withColumn(
+        "before", F.when(F.col("pos") > 0, F.get("tokens", F.col("pos") - 1)).otherwise(""))
+    digit = F.substring(F.md5(F.concat_ws(" ", "before", "token")), 1, 1)
+    tagged = flat.select("key", "pos", "token", F.when(digit < "6", "NN").when(digit < "a", "JJ").otherwise("VB").alias("tag"))
+    model = fit_tags(tagged, ["key"], "pos")
+    return tag_in_context(rows, "key", "tokens", model, "tags").select(
+        "doc_id", "sentence", F.size("tokens").alias("n"), F.array_join("tags", " ").alias("tags"))
+
+
 def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     grams = _kept_tokens(spark, sf_dir).select(
         "doc_id", ngrams(F.col("tokens"), 2).alias("terms")
@@ -443,7 +460,7 @@ QUERIES = {f.__name__: f for f in [
     stop_words_by_table, stop_words_by_table_joined, own_tokeniser, lemma_exceptions,
     svm_fit, logreg_fit, clean_text_joined, stored_list, tfidf_joined, pool_mean_joined,
     pool_tfidf_joined, svm_bigram, svm_trigram, svm_pos_bigram, svm_known_optimum,
-    logreg_closed_form, svm_certificates, trigram_vocab_bounded, top_words_streamed,
+    logreg_closed_form, svm_certificates, trigram_vocab_bounded, top_words_streamed, tags_in_context,
 ]}
 
 _COUNTS = f"""WITH {sql.CLEAN},
@@ -527,6 +544,40 @@ SELECT doc_id, array_to_string(tokens, ' ') AS clean_text FROM clean""",
 SELECT word AS token, lemma FROM lemmas""",
     "bigram_vocab": _vocab_sql(2, 2, NGRAM_TERMS),
     "trigram_vocab": _vocab_sql(3, 3, NGRAM_TERMS),
+    "tags_in_context": f"""WITH RECURSIVE pieces AS (
+  SELECT doc_id, unnest(string_split_regex(text, '[.!?]+')) AS text,
+         unnest(range(len(string_split_regex(text, '[.!?]+')))) AS sentence
+  FROM documents WHERE text IS NOT NULL),
+sentences AS (SELECT doc_id, sentence, {sql.ALL_WORDS} AS ws FROM pieces),
+flat AS (SELECT doc_id, sentence, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM sentences),
+digits AS (
+  SELECT *, left(md5(coalesce(lag(w) OVER (PARTITION BY doc_id, sentence ORDER BY i), '') || ' ' || w), 1) AS d FROM flat),
+tagged AS (SELECT *, CASE WHEN d < '6' THEN 'NN' WHEN d < 'a' THEN 'JJ' ELSE 'VB' END AS tag FROM digits),
+followed AS (
+  SELECT tag, coalesce(lag(tag) OVER (PARTITION BY doc_id, sentence ORDER BY i), '') AS prev FROM tagged),
+tags AS (SELECT tag, count(*) AS n FROM tagged GROUP BY tag),
+moves AS (
+  SELECT p.prev, t.tag, CAST(round(1000 * ln((any_value(p.n) + (SELECT count(*) FROM tags)) / (count(f.tag) + 1))) AS BIGINT) AS c
+  FROM (SELECT prev, count(*) AS n FROM followed GROUP BY prev) p CROSS JOIN tags t
+  LEFT JOIN followed f ON f.prev = p.prev AND f.tag = t.tag GROUP BY p.prev, t.tag),
+seen AS (SELECT w, tag, count(*) AS n FROM tagged GROUP BY w, tag),
+emit AS (
+  SELECT k.w, t.tag, CAST(round(1000 * ln((t.n + (SELECT count(DISTINCT w) FROM seen)) / (coalesce(s.n, 0) + 1))) AS BIGINT) AS c
+  FROM (SELECT DISTINCT w FROM seen) k CROSS JOIN tags t LEFT JOIN seen s ON s.w = k.w AND s.tag = t.tag),
+paths AS (
+  SELECT f.doc_id, f.sentence, CAST(1 AS BIGINT) AS i, e.tag, m.c + e.c AS cost, e.tag AS path
+  FROM flat f JOIN emit e ON e.w = f.w JOIN moves m ON m.prev = '' AND m.tag = e.tag WHERE f.i = 1
+  UNION ALL
+  SELECT doc_id, sentence, i, tag, best.cost + c, best.path || ' ' || tag FROM (
+    SELECT p.doc_id, p.sentence, CAST(p.i + 1 AS BIGINT) AS i, e.tag, any_value(e.c) AS c,
+           min({{'cost': p.cost + m.c, 'tag': p.tag, 'path': p.path}}) AS best
+    FROM paths p JOIN flat f ON f.doc_id = p.doc_id AND f.sentence = p.sentence AND f.i = p.i + 1
+    JOIN emit e ON e.w = f.w JOIN moves m ON m.prev = p.tag AND m.tag = e.tag
+    GROUP BY p.doc_id, p.sentence, p.i, e.tag))
+SELECT p.doc_id, CAST(p.sentence AS INTEGER) AS sentence, CAST(any_value(len(s.ws)) AS INTEGER) AS n,
+       min({{'cost': cost, 'tag': tag, 'path': path}}).path AS tags
+FROM paths p JOIN sentences s ON s.doc_id = p.doc_id AND s.sentence = p.sentence AND p.i = len(s.ws)
+GROUP BY p.doc_id, p.sentence""",
     "trigram_vocab_bounded": _vocab_sql(3, 3, NGRAM_TERMS),
     "ngram_range_vocab": _vocab_sql(1, 3, REVIEW_TERMS),
     "pos_bigram_vocab": f"""{_TAGGED}, {sql.vocabulary('listed', 'terms', NGRAM_TERMS)}

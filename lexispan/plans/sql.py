@@ -25,12 +25,14 @@ _STRIPPED = (
     r"'(n''t|''s|''m|''d|''ll|''re|''ve)$', '')"
 )
 
+ALL_WORDS = rf"""list_filter(list_transform({_PIECES}, lambda t: {_STRIPPED}),
+                     lambda t: regexp_full_match(t, '\p{{L}}+'))"""
+
 # Every document with its words, then without stop words.
-NEWS = rf"""
+NEWS = f"""
 news AS (
   SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN -1 ELSE 1 END AS label,
-         list_filter(list_transform({_PIECES}, lambda t: {_STRIPPED}),
-                     lambda t: regexp_full_match(t, '\p{{L}}+')) AS all_words
+         {ALL_WORDS} AS all_words
   FROM documents WHERE text IS NOT NULL),
 words AS (
   SELECT doc_id, label,
