@@ -19,6 +19,8 @@ from lexispan.llm.columns import ascii_lower, drop_rows
 from lexispan.llm.shared import new_path, stored
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Digests of 32 bytes that go to all tasks; more are joined by shuffle.
+MAX_BROADCAST_HITS = 500_000
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -97,7 +99,10 @@ def exact_groups(
         groups = log.select("_digest", F.col("_id").alias("keep_id"), F.lit(0).cast("long").alias("n"))
     else:
         groups = keyed_state(log, "_digest", "_id", files_per_batch)
-    hits = groups.filter("n > 1").select("_digest")
+    # A narrow table; while it is small the texts are not shuffled to look its digests up.
+    hits = stored(groups.filter("n > 1").select("_digest"), "dedup-hits")
+    if hits.count() <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)
     by_bytes = stored(
         texts.withColumn("_digest", digest_of(F.col("_text"))).join(hits, "_digest", "left_semi")
         .groupBy("_digest", "_text").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))

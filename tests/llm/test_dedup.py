@@ -34,6 +34,15 @@ def test_exact_groups(spark, options):
     }
 
 
+def test_exact_groups_with_many_hits(spark, monkeypatch):
+    """The join by shuffle gives the rows of the broadcast one."""
+    from lexispan.llm import exact_dedup
+
+    want = sorted(map(repr, exact_groups(table(spark, ROWS)).collect()))
+    monkeypatch.setattr(exact_dedup, "MAX_BROADCAST_HITS", 0)
+    assert sorted(map(repr, exact_groups(table(spark, ROWS)).collect())) == want
+
+
 def test_exact_of_empty_table_and_filter(spark):
     assert exact_groups(table(spark, [])).collect() == []
     kept = drop_copies(table(spark, ROWS))
