@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Keys of an id and a digest of 32 bytes that go to all tasks; more are joined by shuffle.
+MAX_BROADCAST_KEYS = 500_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -36,14 +38,16 @@ def drop_rows(df: DataFrame, id_col: str, digest: Column, dropped: DataFrame, re
 
     Rows are known by their id, which may be null or repeated, and the ``digest`` of their
     text.  Those whose two are in ``dropped`` go; of those in ``repeated``, which stand in
-    ``df`` several times, one stays.  Both tables are ``(id, digest)`` with every pair once.
+    ``df`` several times, one stays.  Both tables are ``(id, digest)`` with every pair once
+    and stored; while one is small, the texts are not shuffled to look its keys up.
     """
     key, other, mark = (free_name(df, name) for name in ("digest", "other_digest", "other_id"))
     keyed = df.withColumn(key, digest)
 
     def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         same = (F.col(key) == F.col(other)) & F.col(id_col).eqNullSafe(F.col(mark))
-        return rows.join(keys.toDF(mark, other), same, how)
+        keys = keys.toDF(mark, other)
+        return rows.join(F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys, same, how)
 
     left = among(keyed, dropped, "left_anti")
     if not repeated.isEmpty():

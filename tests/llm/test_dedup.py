@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lexispan.llm import columns
 from lexispan.llm.components import components
 from lexispan.llm.exact_dedup import drop_copies, exact_groups
 from lexispan.llm.simhash import BKTree, drop_near_duplicates, fingerprint, fingerprint_links, near_duplicates
@@ -202,7 +203,9 @@ def test_near_duplicates_are_dropped_by_row(spark):
     assert drop_near_duplicates(table(spark, [])).collect() == []
 
 
-def test_copies_are_dropped_by_row(spark):
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_copies_are_dropped_by_row(spark, monkeypatch, most):
+    monkeypatch.setattr(columns, "MAX_BROADCAST_KEYS", most)
     rows = repeated_rows(random.Random(9)) + [(4, "Dup"), (9, "DUP"), (None, "Nameless"), (None, "nameless")]
     best = {}
     for i, t in rows:
