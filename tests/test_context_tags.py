@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexispan.operators.context_tags import fit_tags, tag_in_context
+from lexispan.operators.context_tags import fit_tag_lists, fit_tags, tag_in_context
 
 
 def corpus():
@@ -70,3 +70,13 @@ def test_a_long_sentence(spark):
     table = spark.range(1).select(F.lit(1).alias("key"), F.array_repeat(F.lit("a"), 5000).alias("tokens"))
     row = tag_in_context(table, "key", "tokens", model, "tags").select(F.size("tags").alias("n")).first()
     assert row.n == 5000
+
+
+def test_lists_teach_the_same_as_rows(spark):
+    rows = [*corpus(), (60, 0, "a", None), (60, 1, None, "NN"), (60, 2, "b", "VB"), (60, 3, "b", "JJ")]
+    table = spark.createDataFrame(rows, "s int, i int, token string, tag string")
+    lists = table.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("i", "token", "tag"))).alias("e")).select(
+        F.col("e.token").alias("tokens"), F.col("e.tag").alias("tags"))
+    one, other = fit_tags(table, ["s"], "i"), fit_tag_lists(lists, "tokens", "tags")
+    assert (one.tags, one.transitions, one.unknown) == (other.tags, other.transitions, other.unknown)
+    assert sorted(one.emissions.collect()) == sorted(other.emissions.collect())
