@@ -5,7 +5,7 @@ many, the same number is taken from all, and those that reach zero are dropped.
 is below the true count of its term by what was taken at most.  The merged counters and
 the sum of what was taken bound every count from both sides: terms that may be among the
 most frequent are counted exactly, the others need not be.  Where the bounds can't tell,
-all terms are counted.
+counts by buckets of a hash do (``features.candidate_counts``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispan.operators.bounded import broadcast_if_small
-from lexispan.operators.features import term_counts, top_terms, with_index
+from lexispan.operators.features import candidate_counts, term_counts, top_terms, with_index
 from lexispan.operators.unnest import unnest
 from lexispan.session import ship_package
 from lexispan.sources.scratch import forget, stored
@@ -57,7 +57,7 @@ def top_vocabulary(df: DataFrame, terms: str, top_n: int, counters: int | None =
 
     Equal counts are in text order.  Null lists and elements count nothing; an empty table
     has no terms.  The shuffle holds the counters and the terms that the bounds leave open;
-    with too few counters, or too even counts, it is the full one.
+    with too few counters, or too even counts, that of ``features.vocabulary``.
     """
     ship_package(df.sparkSession)
     parts = summaries(df, terms, counters or COUNTERS_PER_TERM * max(top_n, 1))
@@ -70,7 +70,10 @@ def top_vocabulary(df: DataFrame, terms: str, top_n: int, counters: int | None =
     enough = best[0] == top_n and best[1] > taken
     if not (enough or taken == 0):
         forget(merged)
-        return with_index(top_terms(term_counts(df, terms), top_n)).select("idx", "term", "cnt")
+        counted = candidate_counts(df, terms, top_n, best[1] if best[0] == top_n else 0)
+        if counted is None:
+            counted = term_counts(df, terms)
+        return with_index(top_terms(counted, top_n)).select("idx", "term", "cnt")
     if taken == 0:
         counted = found
     else:
