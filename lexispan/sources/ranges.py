@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ from lexispan.sources.scratch import stored
 WHOLE, HEAD, TAIL, MIDDLE, NAME = range(5)
 #: What happens at a place of the text.
 NEXT, CLOSE, OPEN = range(3)
+#: Text that is looked at, or collected as records, at a time; a state takes some ten bytes a byte.
+BYTES_AT_ONCE = 4 << 20
 
 _KEY = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*[\[{]$')
 _RECORDS = "file string, start long, seq long, kind int, section string, record binary"
@@ -122,11 +125,21 @@ def _handed_over(spark: SparkSession, df: DataFrame) -> DataFrame:
     return empty.filter(F.lit(False)).unionByName(df)
 
 
-def _runs(batches: Iterable[pa.RecordBatch], separator: bytes) -> Iterator[tuple[str, int, bytes]]:
-    """The text of each batch, cut where another range begins."""
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that parts of more than one row have about ``BYTES_AT_ONCE`` of text at most."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch["piece"]), 0).to_numpy(), dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            done = int(ends[low - 1]) if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, done + BYTES_AT_ONCE, "right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
+def _runs(batches: Iterable[pa.RecordBatch], separator: bytes) -> Iterator[tuple[str, int, bytes]]:
+    """The text of each part of a batch, cut where another range begins."""
+    for batch in _parts(batches):
         file, start = batch["file"].dictionary_encode(), batch["start"].to_numpy()
         number = file.indices.to_numpy()
         edges = np.flatnonzero((np.diff(number) != 0) | (np.diff(start) != 0)) + 1
@@ -172,7 +185,7 @@ def _cut(pieces: DataFrame, form, states) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        place = section = None
+        waiting, place, section = 0, None, None
 
         def finish() -> None:
             if opened:
@@ -199,14 +212,16 @@ def _cut(pieces: DataFrame, form, states) -> DataFrame:
                 else:
                     record = text[last:i] if not pending else b"".join([*pending, text[last:i]])
                     out.append((file, start, seq, WHOLE if known else TAIL, section, record))
+                    waiting += len(record)
                     seq += 1
                     pending, known, opened = [], True, kind != CLOSE
                 last = i + 1
             if opened:
                 pending.append(text[last:])
-            if len(out) >= 4096:
+            if len(out) >= 4096 or waiting >= BYTES_AT_ONCE:
                 yield _batch(out)
                 out.clear()
+                waiting = 0
         if place is not None:
             finish()
         yield _batch(out)

@@ -5,10 +5,11 @@ import io
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lexispan.sources import corpora, qa
+from lexispan.sources import corpora, qa, ranges
 from lexispan.sources.ranges import CsvRecords, JsonRecords, records
 
 PARTS = ["a", ",", '"', "\\", "{", "}", "[", "]", "é", "\n", "\r\n", " ", "漢", '","', '"}', '":[{', "\\\\\"", "x" * 40]
@@ -171,3 +172,12 @@ def test_records_keep_their_order(spark, tmp_path, small_ranges):
     found = records(spark, [str(tmp_path / "m.json")], JsonRecords(1)).orderBy("start", "seq")
     keys = found.select(F.regexp_extract("record", r'"(\d+)"', 1).cast("int").alias("k")).collect()
     assert [r.k for r in keys] == list(range(500))
+
+
+def test_a_batch_is_read_in_parts(monkeypatch):
+    monkeypatch.setattr(ranges, "BYTES_AT_ONCE", 10)
+    pieces = [b"abc", b"", b"d" * 30, b"ef", b"ghij", b"klmno", b"p"]
+    batch = pa.record_batch({"file": pa.array(["f"] * 7), "start": pa.array([0] * 7, pa.int64()), "piece": pa.array(pieces)})
+    texts = [text for *_, text in ranges._runs([batch, batch.slice(0, 0)], b"\n")]
+    assert b"".join(texts) == b"\n".join(pieces) + b"\n"
+    assert all(len(t) <= 20 or t.count(b"\n") == 1 for t in texts) and len(texts) > 2
