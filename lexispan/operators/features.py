@@ -218,10 +218,10 @@ class TfidfModel:
         ).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
     def _entries_by_join(self, df, row_key, terms, keep):
-        same = F.xxhash64(terms).alias("_row_hash")
-        flat = unnest(
-            df, [row_key, *keep, F.size(terms).alias("_n"), same], value_counts(F.col(terms)), "_e"
-        ).select(
+        # What is computed from the list comes first; else each entry would carry the list.
+        counted = df.select(row_key, *keep, F.size(terms).alias("_n"), F.xxhash64(terms).alias("_row_hash"),
+                            value_counts(F.col(terms)).alias("_entries"))
+        flat = unnest(counted, [row_key, *keep, "_n", "_row_hash"], "_entries", "_e").select(
             row_key, *keep, "_n", "_row_hash", F.col("_e.value").alias("term"),
             F.col("_e.n").cast("bigint").alias("cnt"),
         )

@@ -52,3 +52,13 @@ def test_hot_and_joined_words_pool_like_the_matrix(spark, how, hot):
         return sorted(map(repr, pooled.collect()))
 
     assert result(max_matrix_bytes=0, max_hot_bytes=hot) == result()
+
+
+def test_entries_do_not_carry_the_lists_they_come_from(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, [])], "id int, t array<string>")
+    model = features.TfidfModel.fit(df, "t", 3, max_listed=0)
+    found = model.entries(df, "id", "t")
+    assert sorted((r.id, r.term, r.cnt) for r in found.collect()) == [(1, "a", 2), (1, "b", 1), (2, "b", 1), (2, "c", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[:plan.index("Generate explode")]
+    assert "xxhash64" not in after and "size(t" not in after
