@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from lexispan.operators.bounded import broadcast_if_small
 from lexispan.operators.list_slices import in_slices, lists_of, offsets_of
 from lexispan.operators.lookup import MAX_DICTIONARY_ROWS, look_up_tokens
 from lexispan.operators.unnest import unnest
@@ -56,24 +57,37 @@ def fit_tags(
     before.  An empty table raises ``ValueError``.  The driver holds a number per pair of
     tags; tokens stay a table.
     """
+    return _learnt(_pairs_by_window(tagged, sentence, position, token, tag))
+
+
+def _pairs_by_window(tagged: DataFrame, sentence: Sequence[str], position: str, token: str, tag: str) -> DataFrame:
+    """``(token, before, tag)`` of each row."""
     known = tagged.filter(F.col(token).isNotNull() & F.col(tag).isNotNull())
     before = F.coalesce(F.lag(tag).over(Window.partitionBy(*sentence).orderBy(position)), F.lit(START))
-    return _learnt(known.select(F.col(token).alias("token"), before.alias("before"), F.col(tag).alias("tag")))
+    return known.select(F.col(token).alias("token"), before.alias("before"), F.col(tag).alias("tag"))
 
 
-def fit_tag_lists(df: DataFrame, tokens: str, tags: str) -> TagModel:
+def fit_tag_lists(df: DataFrame, row_key: str, tokens: str, tags: str) -> TagModel:
     """The same as ``fit_tags`` from a row per sentence, with its tokens and their tags as lists.
 
-    What comes before a tag lies in the row, so sentences are not shuffled.  Lists of
+    What comes before a tag lies in the row, so sentences are not shuffled, only their keys.
+    Rows that share a key are one sentence, by position, and go through the window.  Lists of
     unequal length have null where the shorter one ends.
     """
-    pairs = F.filter(F.arrays_zip(F.col(tokens).alias("token"), F.col(tags).alias("tag")),
-                     lambda e: e["token"].isNotNull() & e["tag"].isNotNull())
-    rows = df.select(pairs.alias("_known"))
+    rows = df.select(F.col(row_key).alias("_key"), F.arrays_zip(
+        F.col(tokens).alias("token"), F.col(tags).alias("tag")).alias("_pairs"))
+    repeated = broadcast_if_small(df.groupBy(F.col(row_key).alias("_again")).agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("_again"))
+    again = F.col("_key").eqNullSafe(F.col("_again"))
+    known = rows.join(repeated, again, "left_anti").select(F.filter(
+        "_pairs", lambda e: e["token"].isNotNull() & e["tag"].isNotNull()).alias("_known"))
     own = F.transform("_known", lambda e: e["tag"])
     shifted = F.slice(F.concat(F.array(F.lit(START)), own), F.lit(1), F.size("_known"))
-    flat = unnest(rows, [], F.arrays_zip(F.col("_known").alias("own"), shifted.alias("before")), "_e")
-    return _learnt(flat.select("_e.own.token", "_e.before", "_e.own.tag"))
+    flat = unnest(known, [], F.arrays_zip(F.col("_known").alias("own"), shifted.alias("before")), "_e")
+    shared = rows.join(repeated, again, "left_semi").select("_key", F.posexplode("_pairs").alias("_pos", "_e")).select(
+        "_key", "_pos", "_e.token", "_e.tag")
+    return _learnt(flat.select("_e.own.token", "_e.before", "_e.own.tag").unionByName(
+        _pairs_by_window(shared, ["_key"], "_pos", "token", "tag")))
 
 
 def _learnt(known: DataFrame) -> TagModel:

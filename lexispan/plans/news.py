@@ -186,7 +186,7 @@ def tags_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
         digit = F.substring(F.md5(F.concat_ws(" ", before, token)), 1, 1)
         return F.when(digit < "6", "NN").when(digit < "a", "JJ").otherwise("VB")
 
-    model = fit_tag_lists(rows.select("tokens", F.transform("tokens", tag).alias("tags")), "tokens", "tags")
+    model = fit_tag_lists(rows.select("key", "tokens", F.transform("tokens", tag).alias("tags")), "key", "tokens", "tags")
     return tag_in_context(rows, "key", "tokens", model, "tags").select(
         "doc_id", "sentence", F.size("tokens").alias("n"), F.array_join("tags", " ").alias("tags"))
 

@@ -72,11 +72,14 @@ def test_a_long_sentence(spark):
     assert row.n == 5000
 
 
-def test_lists_teach_the_same_as_rows(spark):
+@pytest.mark.parametrize("copies", [1, 2])
+def test_lists_teach_the_same_as_rows(spark, copies):
     rows = [*corpus(), (60, 0, "a", None), (60, 1, None, "NN"), (60, 2, "b", "VB"), (60, 3, "b", "JJ")]
     table = spark.createDataFrame(rows, "s int, i int, token string, tag string")
     lists = table.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("i", "token", "tag"))).alias("e")).select(
-        F.col("e.token").alias("tokens"), F.col("e.tag").alias("tags"))
-    one, other = fit_tags(table, ["s"], "i"), fit_tag_lists(lists, "tokens", "tags")
+        "s", F.col("e.token").alias("tokens"), F.col("e.tag").alias("tags"))
+    for _ in range(1, copies):
+        lists, table = lists.union(lists.filter("s % 7 = 0 OR s = 60")), table.union(table.filter("s % 7 = 0 OR s = 60"))
+    one, other = fit_tags(table, ["s"], "i"), fit_tag_lists(lists, "s", "tokens", "tags")
     assert (one.tags, one.transitions, one.unknown) == (other.tags, other.transitions, other.unknown)
     assert sorted(one.emissions.collect()) == sorted(other.emissions.collect())
