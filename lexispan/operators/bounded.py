@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
+def fetched(df: DataFrame) -> DataFrame:
+    """The rows of a small table, held by the driver.
+
+    They travel as Arrow, which Spark reads itself; a list of Python rows would start a Python
+    worker per core, beside those of the query, that stays until the session ends.
+    """
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Fetch at most ``max_rows`` + 1 rows; broadcast them if they were all.
 
@@ -19,10 +28,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     by shuffle.  Meant for small aggregates whose size depends on the data, such
     as one row per class.
     """
-    fetched = df.limit(max_rows + 1).toArrow()
-    if fetched.num_rows > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(fetched, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def hint_if_bounded(df: DataFrame, row_bound: int) -> DataFrame:

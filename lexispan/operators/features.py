@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispan.functions.arrays import value_counts
-from lexispan.operators.bounded import hint_if_bounded
+from lexispan.operators.bounded import fetched, hint_if_bounded
 from lexispan.operators.unnest import unnest
 from lexispan.sources.scratch import forget, stored
 
@@ -102,8 +102,7 @@ def fitted_vocabulary(df: DataFrame, terms: str, top_n: int) -> DataFrame:
     per distinct term of a document gives occurrences and documents.  A narrow job counts the rows.
     """
     if 0 < top_n <= MAX_LISTED_TERMS:
-        top = vocabulary(df, terms, top_n).collect()
-        table = df.sparkSession.createDataFrame(top, "idx int, term string, cnt bigint")
+        table = fetched(vocabulary(df, terms, top_n))
         counted = TfidfModel(table.withColumn("idf", F.lit(0.0)), top_n).counts(df, terms, "_found")
         per_term = unnest(counted, [], F.unwrap_udt("_found")["indices"], "idx").groupBy("idx").agg(
             F.count(F.lit(1)).alias("df"))
@@ -139,8 +138,7 @@ class TfidfModel:
         table = fitted_vocabulary(df, terms, top_n)
         if top_n > max_listed:
             return cls(table, top_n, False)
-        rows = table.orderBy("idx").collect()
-        return cls(df.sparkSession.createDataFrame(rows, table.schema), top_n)
+        return cls(fetched(table.orderBy("idx")), top_n)
 
     @cached_property
     def _rows(self) -> list:

@@ -194,3 +194,11 @@ def test_empty_vocabulary_and_one_beyond_the_list(spark):
     some = spark.createDataFrame([(1, ["a", "b"])], "id int, tokens array<string>")
     model = features.TfidfModel.fit(some, "tokens", 5, max_listed=0)
     assert model.vectors(some, "tokens", "v").first()["v"].numNonzeros() == 2
+
+
+def test_fitting_leaves_no_python_rows(docs, capsys):
+    # Rows handed over as Python objects would be read by a Python worker per core.
+    for table in (features.fitted_vocabulary(docs, "tokens", 4), features.TfidfModel.fit(docs, "tokens", 4).table):
+        table.select("idx", "term").explain()
+        plan = capsys.readouterr().out
+        assert "LocalTableScan" in plan and "ExistingRDD[idx" not in plan
