@@ -21,7 +21,7 @@ from lexispan.operators.ranking import top_per_group
 from lexispan.operators.unnest import unnest
 from lexispan.plans import inputs, sql
 from lexispan.session import keep
-from lexispan.sources.scratch import new_path
+from lexispan.sources.scratch import new_path, stored, stored_by_batches
 from lexispan.streaming.word_counts import count_new_files, current_counts
 
 TOP_WORDS = 100
@@ -166,11 +166,11 @@ def ngram_range_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos_bigram_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = keep(inputs.news(spark, sf_dir).select("doc_id", words(F.col("text")).alias("tokens")))
-    tagged = keep(tagged_ngrams(
+    docs = stored(inputs.news(spark, sf_dir).select("doc_id", words(F.col("text")).alias("tokens")), "words")
+    tagged = stored_by_batches(tagged_ngrams(
         docs, "doc_id", "tokens", inputs.tag_lexicon(docs), "terms",
         stop_words=tuple(ENGLISH_STOP_WORDS),
-    ).select("terms"))
+    ).select("terms"), "tagged")
     return features.vocabulary(tagged, "terms", NGRAM_TERMS)
 
 
@@ -178,17 +178,18 @@ def tags_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags of every sentence by a bigram model learnt from tags that depend on the word before."""
     pieces = inputs.documents(spark, sf_dir, "doc_id", "text").select(
         "doc_id", F.posexplode(F.split("text", "[.!?]+")).alias("sentence", "piece"))
-    rows = keep(pieces.select(
+    rows = stored(pieces.select(
         "doc_id", "sentence", F.concat_ws(":", "doc_id", "sentence").alias("key"), words(F.col("piece")).alias("tokens"),
-    ).filter(F.size("tokens") > 0))
+    ).filter(F.size("tokens") > 0), "sentences")
+
     def tag(token, i):
         before = F.when(i > 0, F.get("tokens", i - 1)).otherwise("")
         digit = F.substring(F.md5(F.concat_ws(" ", before, token)), 1, 1)
         return F.when(digit < "6", "NN").when(digit < "a", "JJ").otherwise("VB")
 
     model = fit_tag_lists(rows.select("key", "tokens", F.transform("tokens", tag).alias("tags")), "key", "tokens", "tags")
-    return tag_in_context(rows, "key", "tokens", model, "tags").select(
-        "doc_id", "sentence", F.size("tokens").alias("n"), F.array_join("tags", " ").alias("tags"))
+    return stored_by_batches(tag_in_context(rows, "key", "tokens", model, "tags").select(
+        "doc_id", "sentence", F.size("tokens").alias("n"), F.array_join("tags", " ").alias("tags")), "tagged")
 
 
 def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,8 +201,8 @@ def bag_of_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned words, persisted for queries that read them several times."""
-    return keep(inputs.news_tokens(spark, sf_dir))
+    """The cleaned words, stored for queries that read them several times; executors hold none of them."""
+    return stored_by_batches(inputs.news_tokens(spark, sf_dir), "tokens")
 
 
 def _tfidf_entries(spark: SparkSession, sf_dir: str, max_listed: int = TFIDF_TERMS) -> DataFrame:
@@ -412,13 +413,13 @@ def svm_pos_bigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tagged_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = keep(inputs.news(spark, sf_dir).select(
+    docs = stored(inputs.news(spark, sf_dir).select(
         "doc_id", to_classes(F.col("label")).alias("label"), words(F.col("text")).alias("tokens")
-    ))
-    tagged = keep(tagged_ngrams(
+    ), "words")
+    tagged = stored_by_batches(tagged_ngrams(
         docs, "doc_id", "tokens", inputs.tag_lexicon(docs), "terms",
         stop_words=tuple(ENGLISH_STOP_WORDS),
-    ).select("doc_id", "label", "terms"))
+    ).select("doc_id", "label", "terms"), "tagged")
     rows = sampling.train_rows_70_30(tagged.count())
     split = sampling.split_exact(tagged, "doc_id", rows, inputs.SEED)
     return split.filter("split = 'train'"), split.filter("split = 'test'")

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lexispan.session import ship_package
 
+#: Of an Arrow batch that goes to a Python worker within ``small_batches``.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _own_folders: dict[str, str] = {}
 
 
@@ -50,6 +56,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside hand rows to Python in Arrow batches of at most ``BATCH_BYTES`` or a row.
+
+    An executor holds several copies of a batch per core, outside its heap and in the worker.
+    A lower limit of the caller stays, and so does theirs after the block; a frame that only
+    runs later is not bounded.
+    """
+    before, now = spark.conf.getAll.get(_BATCH_SETTING), spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if 0 < now <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
+def stored_by_batches(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, with ``small_batches`` to the Python functions of ``df``."""
+    with small_batches(df.sparkSession):
+        return stored(df, name)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for table in tables:
