@@ -24,6 +24,7 @@ from lexispan.operators.frequent import frequent_values
 from lexispan.operators.list_slices import in_slices
 from lexispan.operators.unnest import unnest
 from lexispan.session import ship_package
+from lexispan.sources.scratch import stored_by_batches
 
 MAX_MATRIX_BYTES = 64 * 1024 * 1024
 #: The vectors of the most frequent words of the documents, where the table is larger.
@@ -132,6 +133,11 @@ def _pool_rows(
     return pa.ListArray.from_arrays(pa.array(places), pa.array(result.ravel()))
 
 
+def _pooled_rows(df: DataFrame) -> DataFrame:
+    """``df`` stored, its Python function fed by small batches; on a stream it stays as it is."""
+    return df if df.isStreaming else stored_by_batches(df, "pooled")
+
+
 def _check(how: str) -> None:
     if how not in ("mean", "max"):
         raise ValueError(f"unknown pooling: {how}")
@@ -166,7 +172,7 @@ def pool_words(
 
         return in_slices(pooled_in, lists)
 
-    return df.select(row_key, *keep, pool(tokens).alias("features"))
+    return _pooled_rows(df.select(row_key, *keep, pool(tokens).alias("features")))
 
 
 def _pool_hot_and_joined(df, row_key, tokens, vectors, how, keep, max_hot_bytes):
@@ -204,7 +210,8 @@ def _pool_hot_and_joined(df, row_key, tokens, vectors, how, keep, max_hot_bytes)
         return in_slices(begun_in, lists)
 
     marked = df.select(row_key, *keep, tokens, F.xxhash64(tokens).alias("_same"))
-    begun = marked.select(row_key, *keep, "_same", start(tokens).alias("_hot"))
+    # Both sides of the join below read it.
+    begun = _pooled_rows(marked.select(row_key, *keep, "_same", start(tokens).alias("_hot")))
     rare = unnest(begun, [F.col(row_key).alias("_key"), F.col("_same").alias("_hash")],
                   value_counts(F.col("_hot.others")), "_e").select("_key", "_hash", F.col("_e.value").alias("word"), "_e.n")
     each = [F.get("vec", F.lit(i)).cast("double") for i in range(dims)]
@@ -259,9 +266,9 @@ def pool_weighted(
         )
 
     parts = model.sparse_parts(df.select(row_key, *keep, tokens), tokens)
-    return parts.select(
+    return _pooled_rows(parts.select(
         row_key, *keep, pool("_c.indices", "_c.values", "_u.values").alias("features")
-    )
+    ))
 
 
 def _pool_weighted_by_join(df, row_key, tokens, vectors, model, dims, keep):

@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lexispan.operators.pooling import pool_words
 from lexispan.plans import news
 from lexispan.sources import scratch
 
@@ -78,3 +79,13 @@ def test_tagged_words_are_stored(spark, folder, limits):
     news.tags_in_context(spark, folder).collect()
     assert limits["tagged"] == str(scratch.BATCH_BYTES)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+@pytest.mark.parametrize("bounds", [{}, {"max_matrix_bytes": 0}, {"max_matrix_bytes": 0, "max_hot_bytes": 8}])
+def test_pooling_runs_python_once_on_small_batches(spark, limits, bounds):
+    df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, ["c"]), (3, []), (4, None)], "k long, t array<string>")
+    table = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, 8.0])], "word string, vec array<float>")
+    found = pool_words(df, "k", "t", table, "mean", 2, **bounds)
+    assert limits["pooled"] == str(scratch.BATCH_BYTES)
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.k: r.features for r in found.collect()} == {1: [3.0, 6.0], 2: [0.0, 0.0], 3: [0.0, 0.0], 4: [0.0, 0.0]}
