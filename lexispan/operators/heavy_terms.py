@@ -22,7 +22,7 @@ from lexispan.operators.bounded import broadcast_if_small
 from lexispan.operators.features import candidate_counts, term_counts, top_terms, with_index
 from lexispan.operators.unnest import unnest
 from lexispan.session import ship_package
-from lexispan.sources.scratch import forget, stored
+from lexispan.sources.scratch import forget, stored_by_batches
 
 #: Counters of a task for each term that is asked for.
 COUNTERS_PER_TERM = 20
@@ -62,7 +62,8 @@ def top_vocabulary(df: DataFrame, terms: str, top_n: int, counters: int | None =
     ship_package(df.sparkSession)
     parts = summaries(df, terms, counters or COUNTERS_PER_TERM * max(top_n, 1))
     # Merged per term; what all tasks took is the row without a term.
-    merged = stored(parts.groupBy("term").agg(F.sum("low").alias("low"), F.sum("taken").alias("taken")), "summaries")
+    merged = stored_by_batches(
+        parts.groupBy("term").agg(F.sum("low").alias("low"), F.sum("taken").alias("taken")), "summaries")
     taken = merged.filter("term IS NULL").agg(F.coalesce(F.sum("taken"), F.lit(0))).first()[0]
     found = merged.filter("term IS NOT NULL").select("term", F.col("low").alias("cnt"))
     # Any term of the result has the least of these lower bounds, or more.

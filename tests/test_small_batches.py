@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lexispan.operators.heavy_terms import top_vocabulary
 from lexispan.operators.pooling import pool_words
 from lexispan.plans import news
 from lexispan.sources import scratch
@@ -89,3 +90,9 @@ def test_pooling_runs_python_once_on_small_batches(spark, limits, bounds):
     assert limits["pooled"] == str(scratch.BATCH_BYTES)
     assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
     assert {r.k: r.features for r in found.collect()} == {1: [3.0, 6.0], 2: [0.0, 0.0], 3: [0.0, 0.0], 4: [0.0, 0.0]}
+
+
+def test_bounded_counters_get_small_batches(spark, limits):
+    df = spark.createDataFrame([(["a", "b", "a"],), (["a", "c"],), (None,)], "t array<string>")
+    assert [r.term for r in top_vocabulary(df, "t", 2).collect()] == ["a", "b"]
+    assert limits["summaries"] == str(scratch.BATCH_BYTES)
