@@ -1,9 +1,12 @@
 """Python workers get small Arrow batches, and tables that are read several times lie on disk."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from lexispan.operators import joint_fits
 from lexispan.operators.heavy_terms import top_vocabulary
 from lexispan.operators.pooling import pool_words
 from lexispan.plans import news
@@ -96,3 +99,19 @@ def test_bounded_counters_get_small_batches(spark, limits):
     df = spark.createDataFrame([(["a", "b", "a"],), (["a", "c"],), (None,)], "t array<string>")
     assert [r.term for r in top_vocabulary(df, "t", 2).collect()] == ["a", "b"]
     assert limits["summaries"] == str(scratch.BATCH_BYTES)
+
+
+def test_rounds_of_a_fit_get_small_batches(spark, limits, monkeypatch):
+    rounds, work = [], joint_fits._round
+
+    def noted(models):
+        rounds.append(spark.conf.getAll.get(SETTING))
+        return work(models)
+
+    monkeypatch.setattr(joint_fits, "_round", noted)
+    rows = spark.range(200).select((F.col("id") % 2).alias("label"), array_to_vector(F.array(
+        (F.col("id") % 2 * 2 - 1).cast("double"), (F.col("id") % 7).cast("double"))).alias("features"))
+    model = joint_fits.fit_jointly({"m": (rows, joint_fits.Svm(0.01))})["m"]
+    assert model.gap <= 1e-4 and np.sign(model.weights[0]) == 1
+    assert limits["blocks"] == str(scratch.BATCH_BYTES) and set(rounds) == {str(scratch.BATCH_BYTES)}
+    assert SETTING not in spark.conf.getAll
